@@ -12,21 +12,16 @@ CELL_AREA_KM2 = 0.737
 
 
 def hex_cell(lat: Column, lon: Column, area_km2: float = CELL_AREA_KM2) -> Column:
-    """Id ``q_r`` of the hexagon that holds the point; null when a coordinate is null.
+    """Axial id ``q_r`` of the hexagon that holds the point; null when a coordinate is null.
 
     Coordinates go through the cylindrical equal-area projection, so every cell covers the same
-    area; its shape stretches toward the poles.
+    area; its shape stretches toward the poles. The nearest centre is found with floors only: the
+    expression stays small, which matters because filters and join keys repeat it.
     """
     edge = math.sqrt(2 * area_km2 / (3 * math.sqrt(3)))
-    x = F.radians(lon) * EARTH_RADIUS_KM
-    y = F.sin(F.radians(lat)) * EARTH_RADIUS_KM
-    q = (x * (math.sqrt(3) / 3) - y / 3) / edge
-    r = (y * 2 / 3) / edge
-    s = -q - r
-    rq, rr, rs = (F.floor(v + 0.5) for v in (q, r, s))
-    dq, dr, ds = F.abs(rq - q), F.abs(rr - r), F.abs(rs - s)
-    q_worst = (dq > dr) & (dq > ds)
-    cell_q = F.when(q_worst, -rr - rs).otherwise(rq)
-    cell_r = F.when(~q_worst & (dr > ds), -rq - rs).otherwise(rr)
-    return F.concat(cell_q.cast("bigint").cast("string"), F.lit("_"),
-                    cell_r.cast("bigint").cast("string"))
+    u = F.radians(lon) * (EARTH_RADIUS_KM / edge / math.sqrt(3))
+    v = F.sin(F.radians(lat)) * (EARTH_RADIUS_KM / edge)
+    stripe = F.floor(u + v + 1)
+    column = F.floor((F.floor(u * 2 + 1) + stripe) / 3)
+    row = F.floor((stripe + F.floor(v - u + 1)) / 3)
+    return F.concat((column - row).cast("string"), F.lit("_"), row.cast("string"))

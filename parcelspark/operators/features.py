@@ -29,12 +29,14 @@ def regional_vision(df: DataFrame, region: str = "postcode_prefix") -> DataFrame
 
     The flag counts as renovated when the regional median says so.
     """
-    out = df
-    for c in VISION_DEFAULTS:
-        # Staged by the percentile operator's caller below: one row per region.
-        medians = stage(exact_percentiles(df, c, [0.5], [region])
-                        .select(region, F.col("p")[0].alias(f"_{c}")), "medians")
-        out = lookup_join(out, medians, [region])
+    scores = F.array(*[F.struct(F.lit(c).alias("score"), F.col(c).cast("double").alias("v"))
+                       for c in VISION_DEFAULTS])
+    medians = exact_percentiles(df.select(region, F.inline(scores)), "v", [0.5],
+                                [region, "score"])
+    wide = stage(medians.groupBy(region).agg(*[
+        F.max(F.when(F.col("score") == c, F.col("p")[0])).alias(f"_{c}")
+        for c in VISION_DEFAULTS]), "medians")
+    out = lookup_join(df, wide, [region])
     fill = {}
     for c, neutral in VISION_DEFAULTS.items():
         regional = F.col(f"_{c}")
@@ -63,7 +65,8 @@ def gold_features(silver: DataFrame, vision: DataFrame | None = None, as_of_year
         "has_vision_score": F.col("condition_score").isNotNull().cast("int"),
     })
     if impute == "regional":
-        gold = regional_vision(gold, region)
+        # Used by the medians and by the join that fills with them.
+        gold = regional_vision(stage(gold, "gold"), region)
     elif impute != "neutral":
         raise ValueError("impute must be 'neutral' or 'regional'")
     return vision_defaults(gold)

@@ -129,8 +129,8 @@ def ks_two_sample(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
             F.col(col).cast("double").alias("v"), F.lit(mine).alias("a"),
             F.lit(1 - mine).alias("b"))
 
-    counts = (side(a, 1).unionByName(side(b, 0)).groupBy("v")
-              .agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    counts = stage(side(a, 1).unionByName(side(b, 0)).groupBy("v")
+                   .agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "counts")
     totals = counts.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("t"))
     run = running_counts(counts, "v", ["a", "b"]).withColumn("_t", totals.scalar())
     gap = F.abs(F.try_divide(F.col("run_a"), F.col("_t.a"))

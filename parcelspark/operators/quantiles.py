@@ -110,19 +110,30 @@ def keyed_percentiles(df: DataFrame, by: Sequence[str],
     return cold.unionByName(out)
 
 
-def running_counts(df: DataFrame, value: str, weights: Sequence[str], slots: int = 128) -> DataFrame:
+def with_slot(df: DataFrame, value: str, depth: int = 7) -> DataFrame:
+    """Add ``_slot``, the number of marks below ``value``, where the ``2 ** depth - 1`` marks are
+    approximate percentiles of the column: a binary search in ``depth`` steps."""
+    slots = 2 ** depth
+    marks = df.agg(F.percentile_approx(value, [i / slots for i in range(1, slots)], slots * 10)
+                   .alias("_marks"))
+    out = df.withColumns({"_marks": marks.scalar(), "_slot": F.lit(0)})
+    # One projection per step: nested in one expression the steps would double its size each time.
+    for bit in reversed(range(depth)):
+        step = 2 ** bit
+        below = F.col("_marks")[F.col("_slot") + (step - 1)] < F.col(value)
+        out = out.withColumn("_slot", F.col("_slot") + below.cast("int") * step)
+    return out.drop("_marks")
+
+
+def running_counts(df: DataFrame, value: str, weights: Sequence[str], depth: int = 7) -> DataFrame:
     """Running sums of ``weights`` in the order of ``value`` (unique per row) over the whole table.
 
-    A sketch cuts the value range into slots of about equal size; sums run inside each slot and
-    start from the total of the earlier slots, so no task sorts the whole column.
+    A sketch cuts the value range into ``2 ** depth`` slots of about equal size; sums run inside
+    each slot and start from the total of the earlier slots, so no task sorts the whole column.
     """
-    marks = df.agg(F.percentile_approx(value, [i / slots for i in range(1, slots)], slots * 10)
-                   .alias("_marks"))
-    placed = (df.withColumn("_marks", marks.scalar())
-              .withColumn("_slot", F.size(F.filter("_marks", lambda m: m < F.col(value))))
-              .drop("_marks"))
+    placed = with_slot(df, value, depth)
     totals = placed.groupBy("_slot").agg(*[F.sum(w).alias(w) for w in weights])
-    # At most `slots` rows.
+    # One row per slot.
     earlier = Window.partitionBy(F.lit(True)).orderBy("_slot").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = totals.select("_slot", *[

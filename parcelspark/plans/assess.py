@@ -10,6 +10,7 @@ from parcelspark.operators.scoring import batch_score, conformal_bands
 from parcelspark.plans.fixtures import (CACHE_UNTIL, bronze, feedback, photo_json, photo_scores,
                                         request_log, table, valuations)
 from parcelspark.plans.registry import B, LOG, PHOTOS, V, VISION, query
+from parcelspark.session import stage
 from parcelspark.sources import synthetic
 
 EPS_SQL = "2.220446049250313e-16::DOUBLE"
@@ -215,6 +216,7 @@ HAVING count(*) >= 30""")
 def eval_slices_full(spark, sf):
     scored = _scored(spark, sf).withColumn("has_vision_score",
                                            (F.col("rooms") % 3 == 0).cast("int"))
+    scored = stage(scored.drop("property_hash", "geo_h3_r8", "sale_month", "size_band"), "scored")
     sliced, slices = evaluate.with_error_slices(scored)
     return evaluate.slice_mape(sliced, slices).withColumn("mape", F.round("mape", 6))
 
@@ -308,6 +310,7 @@ GROUP BY region_code""")
 def conformal_bands_query(spark, sf):
     df = bronze(spark, sf, ["champion_pred", "region_code"]).withColumnRenamed("champion_pred",
                                                                                "pred")
+    df = stage(df.select("property_hash", "region_code", "sale_month", "pred", "sale_price"), "scored")
     calib = df.filter("sale_month < '2000-01'")
     out = conformal_bands(calib, df.filter("sale_month >= '2000-01'"), "region_code")
     return out.groupBy("region_code").agg(

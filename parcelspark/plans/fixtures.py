@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelspark.functions.geo import hex_cell
 from parcelspark.functions.hashing import pseudonym
@@ -57,8 +58,27 @@ _JOINS = {
 }
 
 
+# Tables that a small scale factor keeps in one row group, with the key to spread them by.
+SPREAD_BY = {"lineitem": ["l_orderkey", "l_partkey"], "events": ["event_id"],
+             "embeddings": ["vec_id"]}
+# Schemas read once per table; each inference is a job of its own.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One of the given tables.
+
+    One row group is read by one task. When a scan has fewer splits than there are cores, its rows
+    are spread over them; a large table has more splits and is read as it lies.
+    """
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, *SPREAD_BY[name])
+    return df
 
 
 def valuations(spark: SparkSession, sf: str, cols: Sequence[str] = tuple(RAW)) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelspark.functions.geo import CELL_AREA_KM2, EARTH_RADIUS_KM
 from parcelspark.plans.fixtures import DIMENSIONS, PHOTO_COLUMNS, PHOTO_VALID, SALT
 from parcelspark.plans.fixtures import VALUATION_COLUMNS
 
@@ -25,20 +27,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def hex_sql(lat: str, lon: str) -> str:
-    """The hexagon formula as SQL over two column names (six nested steps in one expression)."""
-    a = "sqrt(2 * 0.737::DOUBLE / (3 * sqrt(3::DOUBLE)))"
-    x = f"(radians({lon}) * 6371.0088::DOUBLE)"
-    y = f"(sin(radians({lat})) * 6371.0088::DOUBLE)"
-    q = f"(({x} * (sqrt(3::DOUBLE) / 3) - {y} / 3) / {a})"
-    r = f"(({y} * 2 / 3) / {a})"
-    s = f"(-{q} - {r})"
-    rq, rr, rs = (f"floor({c} + 0.5::DOUBLE)" for c in (q, r, s))
-    dq, dr, ds = f"abs({rq} - {q})", f"abs({rr} - {r})", f"abs({rs} - {s})"
-    cq = f"CASE WHEN {dq} > {dr} AND {dq} > {ds} THEN -{rr} - {rs} ELSE {rq} END"
-    cr = (f"CASE WHEN NOT ({dq} > {dr} AND {dq} > {ds}) AND {dr} > {ds} "
-          f"THEN -{rq} - {rs} ELSE {rr} END")
-    return (f"CAST(CAST({cq} AS BIGINT) AS VARCHAR) || '_' || "
-            f"CAST(CAST({cr} AS BIGINT) AS VARCHAR)")
+    """The hexagon formula as SQL over two column names."""
+    edge = math.sqrt(2 * CELL_AREA_KM2 / (3 * math.sqrt(3)))
+    u = f"(radians({lon}) * {EARTH_RADIUS_KM / edge / math.sqrt(3)!r}::DOUBLE)"
+    v = f"(sin(radians({lat})) * {EARTH_RADIUS_KM / edge!r}::DOUBLE)"
+    stripe = f"floor({u} + {v} + 1)"
+    column = f"floor((floor({u} * 2 + 1) + {stripe}) / 3)"
+    row = f"floor(({stripe} + floor({v} - {u} + 1)) / 3)"
+    return (f"CAST(CAST({column} - {row} AS BIGINT) AS VARCHAR) || '_' || "
+            f"CAST(CAST({row} AS BIGINT) AS VARCHAR)")
 
 
 BAND_SQL = ("CASE WHEN size_sqm < 40 THEN '<40' WHEN size_sqm < 100 THEN '40-100' "
