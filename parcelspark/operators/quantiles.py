@@ -90,12 +90,13 @@ def keyed_percentiles(df: DataFrame, by: Sequence[str],
     """One row per group with one array column per entry of ``wanted`` (name → value, fractions).
 
     For keys with very many groups. Groups of at most ``hot_rows`` rows use the built-in exact
-    aggregate; larger ones go through :func:`exact_percentiles`. Groups without a value give null.
+    aggregate; larger ones go through :func:`exact_percentiles`. Groups without a value give null; rows with
+    a null key are left out.
     """
     by = list(by)
     cols = {name: (F.col(v) if isinstance(v, str) else v).cast("double")
             for name, (v, _) in wanted.items()}
-    slim = df.select(*by, *[c.alias(name) for name, c in cols.items()])
+    slim = df.select(*by, *[c.alias(name) for name, c in cols.items()]).dropna(subset=by)
     sizes = slim.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     hot = stage(sizes.filter(F.col("_n") > hot_rows).drop("_n"), "hot")
     native = [F.percentile(name, list(qs)).alias(name) for name, (_, qs) in wanted.items()]
