@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions.hashing import digest
 from parcelspark.functions.scalars import abs_pct_error, month_index
-from parcelspark.operators.skew import HOT_ROWS, lookup_join
+from parcelspark.operators.skew import HOT_ROWS, lookup_join, retry_stable_salt
 from parcelspark.session import shared_folder, stage
 
 # Categorical columns, and columns that are no features.
@@ -276,7 +276,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     rows = df.count()
     buckets = max(rows // bucket_rows, 1)
     mixed = df.withColumn("_hex", digest(seed, *key)).withColumn(
-        "_bucket", F.pmod(F.xxhash64("_hex"), F.lit(buckets)))
+        "_bucket", retry_stable_salt(df, F.lit(buckets)))
     order = Window.partitionBy("_bucket").orderBy("_hex", *features)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     others = {f"_other_{f}": F.struct(F.coalesce(

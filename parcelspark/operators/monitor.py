@@ -157,10 +157,11 @@ def health_windows(log: DataFrame, window: str = "1 minute", by: str = "served_b
     """Requests, error rate and exact p95 per deployment and tumbling window."""
     slotted = log.withColumn("window_start", F.window(ts, window)["start"])
     keys = [by, "window_start"]
-    rates = slotted.groupBy(*keys).agg(F.count(F.lit(1)).alias("requests"),
-                                       F.avg(F.col(is_error).cast("double")).alias("error_rate"))
-    p95 = keyed_percentiles(slotted, keys, {"p95": (latency, [0.95])}, hot_rows)
-    return rates.join(p95, keys).withColumn("p95", F.col("p95")[0])
+    out = keyed_percentiles(
+        slotted, keys, {"p95": (latency, [0.95])},
+        {"requests": F.count(F.lit(1)), "error_rate": F.avg(F.col(is_error).cast("double"))},
+        hot_rows)
+    return out.select(*keys, "requests", "error_rate", F.col("p95")[0].alias("p95"))
 
 
 def sustained(windows: DataFrame, metric: str, above: float, periods: int, window_seconds: int,

@@ -65,15 +65,14 @@ def aggregate_vision(scores: DataFrame, key: str = "property_hash",
     """
     usable = F.coalesce(F.col("confidence"), F.lit(0.0)) >= min_conf
     metrics = [*_CONDITION, "renovation_recency"]
-    medians = keyed_percentiles(
-        scores, [key], {m: (F.when(usable, F.col(m)), [0.5]) for m in metrics}
-        | {"photo_count": (F.when(usable, F.lit(1.0)), [0.5])}, hot_rows).drop("photo_count")
-    counts = scores.groupBy(key).agg(F.count(F.when(usable, 1)).cast("int").alias("photo_count"))
+    scored = keyed_percentiles(
+        scores, [key], {m: (F.when(usable, F.col(m)), [0.5]) for m in metrics},
+        {"photo_count": F.count(F.when(usable, 1)).cast("int")}, hot_rows)
     enough = F.col("photo_count") >= min_photos
     mid = {m: F.when(enough, F.col(m)[0]) for m in metrics}
     terms = F.filter(F.array(*[mid[m] for m in _CONDITION]), lambda x: x.isNotNull())
     mean = F.try_divide(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.size(terms))
-    return medians.join(counts, key).select(
+    return scored.select(
         key, *[mid[m].alias(m) for m in metrics],
         (mid["renovation_recency"] >= RENOVATED).cast("int").alias("renovation_flag"),
         mean.alias("condition_score"), "photo_count")

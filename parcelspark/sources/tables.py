@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelspark.operators.skew import retry_stable_salt
+
 _VERSION = re.compile(r"^\d{4}\.\d{2}\.\d{2}$")
 
 
@@ -36,10 +38,13 @@ def write_table(df: DataFrame, target: str, partition_by: Sequence[str] = ("sale
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str],
                     files: int | None = None) -> None:
     """Write Parquet range-clustered on ``cluster_by``, so that file and row-group statistics let a
-    scan skip what a filter on these columns excludes."""
-    ranged = (df.repartitionByRange(files, *cluster_by) if files
-              else df.repartitionByRange(*cluster_by))
-    ranged.sortWithinPartitions(*cluster_by).write.mode("overwrite").parquet(path)
+    scan skip what a filter on these columns excludes. Rows with equal values may go to several
+    files, so that a frequent value does not fill one task."""
+    tied = df.withColumn("_tie", retry_stable_salt(df, F.lit(1 << 20)))
+    order = [*cluster_by, "_tie"]
+    ranged = (tied.repartitionByRange(files, *order) if files
+              else tied.repartitionByRange(*order))
+    ranged.sortWithinPartitions(*cluster_by).drop("_tie").write.mode("overwrite").parquet(path)
 
 
 def publish_snapshot(df: DataFrame, base: str, version: str) -> DataFrame:

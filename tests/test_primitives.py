@@ -105,18 +105,36 @@ def test_keyed_percentiles_hot_and_cold_agree(spark):
                                     for d in (cold, hot)], check_dtype=False)
 
 
-def test_running_counts(spark):
+@pytest.mark.parametrize("sort_rows", [1_000_000, 2])
+def test_running_counts(spark, sort_rows):
     df = spark.range(500).select((F.col("id") * 7919 % 1000).cast("double").alias("v"),
                                  F.lit(1).alias("a"), (F.col("id") % 2).alias("b"))
-    got = running_counts(df, "v", ["a", "b"], depth=3).toPandas().sort_values("v")
+    got = running_counts(df, "v", ["a", "b"], sort_rows=sort_rows).toPandas().sort_values("v")
     assert got["run_a"].tolist() == list(range(1, 501))
     assert got["run_b"].tolist() == got["b"].cumsum().tolist()
 
 
-def test_slots_are_balanced(spark):
-    sizes = with_slot(spark.range(8000).select(F.col("id").cast("double").alias("v")), "v", 3
-                      ).groupBy("_slot").count().toPandas()
-    assert len(sizes) == 8 and sizes["count"].max() < 1300
+@pytest.mark.parametrize("depth, levels", [(3, 1), (2, 2)])
+def test_slots_are_ordered_and_balanced(spark, depth, levels):
+    df = spark.range(8000).select(F.col("id").cast("double").alias("v"))
+    sizes = (with_slot(df, "v", depth, levels).groupBy("_slot")
+             .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+             .toPandas().sort_values("_slot"))
+    slots = 2 ** (depth * levels)
+    assert len(sizes) == slots and sizes["n"].max() < 8000 / slots * 1.3
+    assert (sizes["hi"].to_numpy()[:-1] < sizes["lo"].to_numpy()[1:]).all()
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_large_slices_are_divided_again(spark, by):
+    df = skewed(spark, 5000).withColumn("v", F.col("id") * 1.5)
+    qs = [0.1, 0.5, 0.9]
+    plain = exact_percentiles(df, "v", qs, by).toPandas()
+    deep = exact_percentiles(df, "v", qs, by, sort_rows=2).toPandas()
+    for d in (plain, deep):
+        d.sort_values(by or ["n"], inplace=True)
+    assert plain["n"].tolist() == deep["n"].tolist()
+    np.testing.assert_allclose(np.stack(plain["p"]), np.stack(deep["p"]))
 
 
 def brute_force(emb, k):
