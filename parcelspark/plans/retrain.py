@@ -97,7 +97,7 @@ def train_gbt(spark, sf):
 def model_search(spark, sf):
     gold = _gold(spark, sf).drop("property_hash")
     folds = sampling.rolling_origin_folds(gold)
-    grid = modeling.default_grid(trees=5, iterations=3)
+    grid = modeling.default_grid(trees=3, iterations=2)
     models, board, _ = modeling.model_search(folds, grid)
     return board
 
