@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
@@ -162,40 +162,41 @@ def nrmse(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def model_search(folds: DataFrame, grid: dict[str, object] | None = None,
-                 target: str = "sale_price", top: int = 3,
-                 encode: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+                 target: str = "sale_price", top: int = 3, month: str = "sale_month",
                  **matrix) -> tuple[list[PipelineModel], DataFrame, Pipeline]:
     """Cross-validate every candidate on rolling-origin folds (columns ``fold``, ``role``).
 
     Returns the ``top`` candidates refitted on all rows, for a vote, and the leaderboard
-    (candidate, fold, nrmse). Each fit is a distributed job over the fold.
+    (candidate, fold, nrmse). Each fit is a distributed job over the fold. The last fold holds all
+    rows, and its encoding by earlier months is that of every shorter fold, so it is made once.
     """
     grid = default_grid() if grid is None else grid
-    numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())
-    pipeline, rows = model_matrix(folds, target, **matrix)
+    # A few rows per month.
+    parts = stage(folds.select("fold", "role", month).distinct(), "parts")
+    numbers = sorted(r[0] for r in parts.select("fold").distinct().collect())
+    pipeline, rows = model_matrix(folds.filter(F.col("fold") == numbers[-1]).drop("fold", "role"),
+                                  target, month=month, **matrix)
     high = [c for c in matrix.get("high_card", HIGH_CARDINALITY) if c in rows.columns]
-    rows = stage(rows, "folds")
+    full = stage(encode_past(rows, high, month=month), "full")
+    means = [f"{c}_mean" for c in high]
     results = []
     for number in numbers:
-        part = rows.filter(F.col("fold") == number).drop("fold")
-        train, test = (part.filter(F.col("role") == r).drop("role") for r in ("train", "test"))
-        encoded = stage(encode_past(train, high), "train")
-        prepared = pipeline.fit(encoded)
-        fit_rows = stage(prepared.transform(encoded).select(LABEL, "features"), "fit")
-        test_rows = stage(prepared.transform(encode_known(test, train, high))
+        train, test = (full.join(F.broadcast(parts.filter(
+            (F.col("fold") == number) & (F.col("role") == role)).select(month)), month, "left_semi")
+            for role in ("train", "test"))
+        prepared = pipeline.fit(train)
+        fit_rows = stage(prepared.transform(train).select(LABEL, "features"), "fit")
+        test_rows = stage(prepared.transform(encode_known(test.drop(*means), train, high))
                           .select(LABEL, target, "features"), "test")
         for name, regressor in grid.items():
             scored = regressor.fit(fit_rows).transform(test_rows).withColumn(
                 "pred", F.expm1("prediction"))
             results.append((name, int(number), nrmse(scored, target, "pred").first()[0]))
-    spark = folds.sparkSession
-    board = spark.createDataFrame(results, "candidate string, fold int, nrmse double")
-    means = pd.DataFrame(results, columns=["candidate", "fold", "nrmse"]).groupby(
-        "candidate")["nrmse"].mean().sort_values()
-    last = rows.filter(F.col("fold") == numbers[-1]).drop("fold", "role")
-    full = stage(encode_past(last, high), "full")
-    models = [_fit(pipeline, grid[name].copy(), full) for name in means.index[:top]]
-    return models, board, pipeline
+    board = folds.sparkSession.createDataFrame(results,
+                                               "candidate string, fold int, nrmse double")
+    scores = pd.DataFrame(results, columns=["candidate", "fold", "nrmse"])
+    best = scores.groupby("candidate")["nrmse"].mean().sort_values().index[:top]
+    return [_fit(pipeline, grid[name].copy(), full) for name in best], board, pipeline
 
 
 def vote(models: Sequence[PipelineModel], df: DataFrame, out: str = "pred") -> DataFrame:
