@@ -141,9 +141,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class WordTable:
-    """Remembers an array for each distinct word; ``learn`` gives the arrays of new words."""
+    """Remembers an array for each distinct word.
 
-    def __init__(self, learn: Callable[[list[bytes]], list[np.ndarray]], dtype: str):
+    ``learn`` gives the arrays of new words, one after the other, and their sizes.
+    """
+
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype: str):
         self._learn, self._dtype = learn, dtype
         self._clear()
 
@@ -168,10 +171,11 @@ class WordTable:
             self._clear()
             return self.look_up(data, starts)
         stops = np.append(starts, len(data))
-        arrays = self._learn([data[stops[i]:stops[i + 1]].tobytes() for i in missing[where]])
-        sizes = np.fromiter(map(len, arrays), np.int64, len(arrays))
+        raw, picked = data.tobytes(), missing[where]
+        arrays, sizes = self._learn([raw[a:b] for a, b in zip(stops[picked].tolist(),
+                                                              stops[picked + 1].tolist())])
         places = len(self.pool) + np.cumsum(sizes) - sizes
-        self.pool = np.concatenate([self.pool, *arrays]).astype(self._dtype)
+        self.pool = np.concatenate([self.pool, arrays]).astype(self._dtype)
         keys_all = np.concatenate([self.keys, new])
         order = np.argsort(keys_all, kind="stable")
         self.keys = keys_all[order]
@@ -195,10 +199,12 @@ class Encoder:
         self.tokenizer = Tokenizer(path)
         self.table = WordTable(self._ids, "<u4")
 
-    def _ids(self, words: list[bytes]) -> list[np.ndarray]:
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         got = self.tokenizer.library.encode_batch_fast([w.decode() for w in words],
                                                        add_special_tokens=False)
-        return [np.array(x.ids, "<u4") for x in got]
+        ids = [x.ids for x in got]
+        return (np.array([i for x in ids for i in x], "<u4"),
+                np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids start and the last ones end."""

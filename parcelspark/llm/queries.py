@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelspark.llm.common import table
+from parcelspark.llm.embeddings import near_vectors
 from parcelspark.llm.exact import exact_duplicates
 from parcelspark.llm.langid import identify
 from parcelspark.llm.ngram import ngram_components
 from parcelspark.llm.packing import pack
+from parcelspark.llm.tokens import token_budget
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +41,32 @@ def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_duplicates(table(spark, sf, "documents")).drop("row")
 
 
+@query("op2_embedding_near_dedup", """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ways AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+          UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, low AS component_id, vec_id = low AS kept
+FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM ways GROUP BY a) USING (vec_id)
+JOIN (SELECT a AS vec_id, min(b) AS low FROM reach GROUP BY a) USING (vec_id)
+""")
+def embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op3_token_counts")
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_budget(table(spark, sf, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op4_ngram_jaccard_join", """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
