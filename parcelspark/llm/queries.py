@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelspark.llm.chat import collapse_conversations
 from parcelspark.llm.common import table
 from parcelspark.llm.embeddings import near_vectors
 from parcelspark.llm.exact import exact_duplicates
+from parcelspark.llm.html import extract_text
 from parcelspark.llm.langid import identify
 from parcelspark.llm.ngram import ngram_components
 from parcelspark.llm.packing import pack
@@ -103,3 +105,31 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+@query("op6_chat_formatting", """
+WITH t AS (SELECT conv_id, role, text, row_number() OVER o AS place FROM conversations
+           WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST,
+                        text NULLS FIRST)),
+p AS MATERIALIZED (
+  SELECT conv_id, place, string_agg(CASE WHEN role IS NULL THEN '-' ELSE '+' || role END || chr(30)
+             || CASE WHEN text IS NULL THEN '-' ELSE '+' || text END, chr(31))
+           OVER (PARTITION BY conv_id ORDER BY place) AS turns,
+         string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '')
+                    || '<|im_end|>' || chr(10), '') OVER (PARTITION BY conv_id ORDER BY place) AS text,
+         max(place) OVER (PARTITION BY conv_id) AS n FROM t),
+f AS (SELECT conv_id, n, text, turns, min(conv_id) OVER (PARTITION BY turns) AS low,
+             turns IN (SELECT turns FROM p WHERE place < n) AS shorter
+      FROM p WHERE place = n)
+SELECT conv_id, n AS n_turns,
+       CASE WHEN shorter THEN 'prefix' WHEN conv_id = low THEN 'kept' ELSE 'copy' END AS status,
+       CASE WHEN NOT shorter THEN low END AS keep_id,
+       CASE WHEN NOT shorter AND conv_id = low THEN text END AS text FROM f
+""")
+def chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    return collapse_conversations(table(spark, sf, "conversations"))
+
+
+@query("op7_html_extraction")
+def html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(table(spark, sf, "pages"))
