@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str,
            max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that a slice holds about ``max_bytes`` of text or one row."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -157,6 +158,7 @@ class Page:
     def __init__(self) -> None:
         # Name, whether it hides what it holds, whether it was laid out itself.
         self.open: list[tuple[str, bool, bool]] = []
+        self.count: Counter = Counter()  # open elements by name
         self.hidden = 0
         self.flows = [Flow()]
         self.tables: list[tuple[Table, int]] = []  # table, number of flows below it
@@ -211,6 +213,8 @@ class Page:
 
     def within(self, names: frozenset | set, borders: frozenset | set) -> int | None:
         """Place of the innermost open element of the names, inside the innermost border."""
+        if not any(self.count[n] for n in names):
+            return None
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name in names:
@@ -273,6 +277,7 @@ class Page:
         kept = "details-closed" if name == "details" and "open" not in found else name
         self.hidden += hides
         self.open.append((kept, hides, not self.hidden))
+        self.count[kept] += 1
         if self.hidden:
             return
         flow = self.flows[-1]
@@ -316,6 +321,7 @@ class Page:
 
     def pop(self) -> None:
         name, hides, laid = self.open.pop()
+        self.count[name] -= 1
         self.hidden -= hides
         if not laid:
             return
@@ -368,6 +374,7 @@ class Page:
         if name in INLINE and any(x in BLOCK or x in CELLS for x, *_ in self.open[at + 1:]):
             # Ends inside a block that it holds: the block goes on without it.
             self.hidden -= self.open[at][1]
+            self.count[name] -= 1
             del self.open[at]
             return
         if name in ("body", "html"):
