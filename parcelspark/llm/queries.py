@@ -13,6 +13,7 @@ from parcelspark.llm.embeddings import near_vectors
 from parcelspark.llm.exact import exact_duplicates
 from parcelspark.llm.html import extract_text
 from parcelspark.llm.langid import identify
+from parcelspark.llm.lines import drop_repeated_lines
 from parcelspark.llm.ngram import ngram_components
 from parcelspark.llm.packing import pack
 from parcelspark.llm.tokens import token_budget
@@ -133,3 +134,8 @@ def chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_html_extraction")
 def html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return extract_text(table(spark, sf, "pages"))
+
+
+@query("op8_line_dedup")
+def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf, "documents"))
