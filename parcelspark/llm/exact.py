@@ -130,8 +130,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     marked = mark_possible(rows, "h", bits, twice).drop("h")
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     maybe = marked.filter("maybe").drop("maybe")
-    groups = maybe.groupBy("text_sha256").agg(F.min(first).alias("first"),
-                                              F.count(F.lit(1)).alias("group_size"))
+    # Staged, so that the join below may split the copies of one text over tasks.
+    groups = stage(maybe.groupBy("text_sha256").agg(F.min(first).alias("first"),
+                                                    F.count(F.lit(1)).alias("group_size")),
+                   "groups")
     seen = maybe.join(groups, "text_sha256").select(
         "row", "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
