@@ -152,7 +152,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _weights(described: DataFrame) -> np.ndarray:
-    """Frequency class of each counter: 0 below twice the mean, then one for each doubling.
+    """Frequency class of each counter: 0 below three times the mean, then one for each doubling.
 
     The sketch has a fixed number of counters, so what reaches the driver doesn't grow.
     """
@@ -162,7 +162,7 @@ def _weights(described: DataFrame) -> np.ndarray:
     for k, part in merged.collect():
         counts[k * SEGMENT:(k + 1) * SEGMENT] = np.frombuffer(bytes(part), np.uint32)
     ratio = counts // max(1, int(counts.mean()))
-    return np.where(ratio < 2, 0, np.log2(np.maximum(ratio, 1)).astype(int)).clip(0, 31).astype(
+    return np.where(ratio < 3, 0, np.log2(np.maximum(ratio, 1)).astype(int)).clip(0, 31).astype(
         np.uint8)
 
 
@@ -188,7 +188,7 @@ def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int)
                     key = (own >> np.uint64(5)) | (cls.astype(np.uint64) << np.uint64(59))
                     take = np.argsort(key, kind="stable")[:n + (-n * percent // 100) + 1]
                     tokens.append(own[take])
-                    salts.append(np.where(cls[take] > 0, sig % SALTS, 0))
+                    salts.append(np.where(cls[take] > 0, 1 + sig % SALTS, 0))
                     sigs.append(np.full(len(take), sig))
                     sizes.append(np.full(len(take), n))
                 if tokens:
@@ -201,21 +201,73 @@ def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int)
     return docs.mapInArrow(emit, "token long, salt int, sig long, n long")
 
 
-def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token, those whose token another row has; salted tokens all pass."""
-    kept = None
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with equal token and salt, from rows sorted by token, salt and member.
+
+    A run is known by a hash of its members, since the shingles of a passage or a group of copies
+    have the same ones; each task gives a run once, and at its end how many tokens had it. The
+    first member is the head. Runs of one member go, but those of salted tokens stay and name their
+    token in a row without a member.
+    """
+    names = ["run", "head", "m", "member", "n", "token", "weight"]
+    kept, known = None, {}
+
+    def complete(token, salt, member, n, starts, stops):
+        with np.errstate(over="ignore"):
+            spread_out = mixed(member.view(np.uint64))
+            run = mixed(np.add.reduceat(spread_out, starts)[:len(stops)]
+                        + (stops - starts).astype(np.uint64)).view(np.int64)
+        heavy = salt[starts] > 0
+        worth = np.flatnonzero(heavy | (stops - starts > 1))
+        ids, at, counts = np.unique(run[worth], return_index=True, return_counts=True)
+        pick = np.zeros(len(run), bool)
+        pick[worth[at]] = [h not in known for h in ids.tolist()]
+        for h, c in zip(ids.tolist(), counts.tolist()):
+            known[h] = known.get(h, 0) + c
+        rows = np.repeat(pick, stops - starts)
+        sizes = (stops - starts)[pick]
+        heads = starts[pick]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(run[pick], sizes)), pa.array(np.repeat(member[heads], sizes)),
+             pa.array(np.repeat(n[heads], sizes)), pa.array(member[:stops[-1]][rows]),
+             pa.array(n[:stops[-1]][rows]), pa.nulls(int(rows.sum()), pa.int64()),
+             pa.nulls(int(rows.sum()), pa.int64())], names)
+        at = starts[heavy]
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(run[heavy]), pa.array(member[at]), pa.array(n[at]), none, none,
+             pa.array(token[at]), none], names)
+
+    def ordered(last: bool):
+        token, salt, member, n = (kept.column(c).to_numpy() for c in range(4))
+        first = np.flatnonzero(np.append(True, (token[1:] != token[:-1])
+                                         | (salt[1:] != salt[:-1])))
+        stops = np.append(first[1:], len(token)) if last else first[1:]
+        if len(stops):
+            yield from complete(token, salt, member, n, first[:len(stops)], stops)
+        return first[-1]
+
     for batch in batches:
-        table = pa.Table.from_batches([batch] if kept is None else [kept[0], batch])
-        token, salt = table.column("token").to_numpy(), table.column("salt").to_numpy()
-        same = np.zeros(len(token) + 1, bool)
-        same[1:-1] = token[1:] == token[:-1]
-        same[0] = kept is not None and kept[1]
-        pick = same[:-1] | same[1:] | (salt > 0)
-        pick[-1] = False
-        yield from table.filter(pa.array(pick)).combine_chunks().to_batches()
-        kept = table.slice(len(token) - 1).combine_chunks().to_batches()[0], bool(same[-2])
-    if kept is not None and (kept[1] or kept[0].column("salt")[0].as_py() > 0):
-        yield kept[0]
+        if not batch.num_rows:
+            continue
+        kept = pa.Table.from_batches([batch] if kept is None else [*kept.to_batches(), batch])
+        kept = kept.slice((yield from ordered(False)))
+    if kept is not None and len(kept):
+        yield from ordered(True)
+    ids, none = list(known), pa.nulls(len(known), pa.int64())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), none, none, none, none, none,
+         pa.array(list(known.values()), pa.int64())], names)
+
+
+_RUN_SCHEMA = "run long, head long, m long, member long, n long, token long, weight long"
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Runs of ``rows`` (token, salt, member, n)."""
+    order = ["token", "salt", "member"]
+    return (rows.repartition("token", "salt").sortWithinPartitions(*order)
+            .mapInArrow(_runs, _RUN_SCHEMA))
 
 
 def _overlaps(query: np.ndarray, members: list[np.ndarray], percent: int) -> np.ndarray:
@@ -261,10 +313,11 @@ def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, words: int,
     Only candidate sets are cut from their texts again; a Bloom filter of bounded size leaves out
     the other rows before the shuffle. Blocks hold one query set and BLOCK shingles of candidates.
     """
-    spark = docs.sparkSession
+    parts = stage(pairs.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts")),
+                  "parts")
+    first = narrow.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-                .join(narrow.groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "sig")
-                .select("sig", F.xxhash64("doc_id").alias("h")), "candidates")
+                .join(first, "sig").select("sig", F.xxhash64("doc_id").alias("h")), "candidates")
     bits, segments = bloom_filter(ids, "h", ids.count())
     marked = mark_possible(docs.withColumn("h", F.xxhash64("doc_id")), "h", bits, segments)
 
@@ -281,30 +334,25 @@ def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, words: int,
                     "sig": pa.array(list(found), pa.int64()),
                     "own": pa.array(list(found.values()), pa.binary())})
 
-    sets = (marked.filter("maybe").select("text").mapInArrow(cut, "sig long, own binary")
-            .join(ids.select("sig"), "sig", "left_semi"))
-    sets = stage(sets.groupBy("sig").agg(F.first("own").alias("own")), "sets")
-    size = F.length("own") / 8
-    members = pairs.join(sets.toDF("b", "own"), "b").withColumn("size", size)
-    parts = (members.groupBy("a").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("parts")))
-    members = stage(members.select("a", "b", "own"), "members")
-    parts = stage(parts, "parts")
-    blocks = members.join(parts, "a").select(
-        "a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b", "own")
-    queries = (sets.toDF("a", "query").join(parts, "a")
-               .select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                       "query"))
-
-    def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
+    sets = marked.filter("maybe").select("text").mapInArrow(cut, "sig long, own binary")
+    block = F.pmod(F.xxhash64("b"), "parts").cast("int")
+    wanted = stage(
+        pairs.join(parts, "a").select("a", block.alias("part"), F.col("b").alias("sig"),
+                                      F.lit(False).alias("query"))
+        .union(parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "a",
+                            F.lit(True))), "wanted")
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        queries, members = frame[frame["query"]], frame[~frame["query"]]
+        if not len(queries) or not len(members):
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        query = np.frombuffer(left["query"].iloc[0], np.uint64)
-        own = [np.frombuffer(x, np.uint64) for x in right["own"]]
-        return right.loc[_overlaps(query, own, percent), ["a", "b"]]
+        query = np.frombuffer(queries["own"].iloc[0], np.uint64)
+        own = [np.frombuffer(x, np.uint64) for x in members["own"]]
+        linked = _overlaps(query, own, percent)
+        return pd.DataFrame({"a": members["a"][linked], "b": members["sig"][linked]})
 
-    links = (queries.groupBy("a", "part").cogroup(blocks.groupBy("a", "part"))
-             .applyInPandas(join, "a long, b long"))
-    return stage(links, "links")
+    return stage(wanted.join(sets, "sig").groupBy("a", "part")
+                 .applyInPandas(join, "a long, b long"), "links")
 
 
 def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -317,10 +365,11 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     get null unless they link with another. Rows that share a doc_id are taken as rows of their
     own. An empty table gives an empty result; other columns are ignored.
 
-    Equal sets are one node. Nodes that share a prefix shingle are first compared with the smallest
-    node of that shingle, and components are formed; then every pair of nodes that share a prefix
-    shingle but aren't in one component is compared, so no link between components is lost.
-    Shingles and sets are known by 64-bit hashes.
+    Equal sets are one node. Two nodes that link share a least number of prefix shingles, which
+    their sizes tell. Nodes are first compared with the smallest node of a shingle, and components
+    are formed; then every pair of nodes that share enough prefix shingles but aren't in one
+    component is compared, so no link between components is lost. Shingles and sets are known by
+    64-bit hashes.
     """
     docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                               text_or_empty("text").alias("text")))
@@ -329,36 +378,60 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         "doc_id long, n long, sig long, segment int, counts binary"), "shingles")
     narrow = described.filter("segment IS NULL").select("doc_id", "n", "sig")
     prefixes = _prefix_rows(docs, _weights(described), words, percent)
-    shared = stage(prefixes.repartition("token", "salt").sortWithinPartitions("token")
-                   .mapInArrow(_shared_only, "token long, salt int, sig long, n long"), "shared")
-    heads = shared.groupBy("token").agg(F.min("sig").alias("a"), F.min_by("n", "sig").alias("m"),
-                                        F.max("sig").alias("most")).filter("a <> most")
+    raw = stage(_gathered(prefixes.withColumnRenamed("sig", "member")), "runs")
+    runs = stage(raw.filter("member IS NOT NULL").select("run", "head", "m", "member", "n")
+                 .distinct(), "runs")
+    # Salted tokens once more: the runs of one token are the members of a run of runs.
+    upper = stage(_gathered(raw.filter("token IS NOT NULL").select(
+        "token", F.lit(0).alias("salt"), F.col("run").alias("member"), F.col("m").alias("n"))),
+        "upper")
+    groups = stage(upper.filter("member IS NOT NULL").select("run", "member").distinct(), "groups")
+    weights = stage(raw.union(upper).filter("weight IS NOT NULL").groupBy("run")
+                    .agg(F.sum("weight").alias("weight")), "weights")
+    # Overlap that a link needs, and with it the least number of common prefix shingles.
+    needed = f"ceil({percent} * (n + m) / {100 + percent}.0D)"
     near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    stars = stage(shared.join(heads.drop("most"), "token").filter(f"sig <> a AND {near}")
-                  .select("a", F.col("sig").alias("b")).distinct(), "stars")
+    enough = f"shared >= {needed} - ceil({percent} * greatest(n, m) / 100.0D) + 1 AND {near}"
+    heads = stage(runs.filter("member = head").select(F.col("run").alias("member"), "head", "m"),
+                  "heads")
+    tops = stage(groups.join(heads, "member").groupBy("run").agg(
+        F.min("head").alias("top"), F.min_by("m", "head").alias("t")), "tops")
+    stars = runs.filter("member <> head").join(weights, "run").selectExpr(
+        "head AS a", "m", "member AS b", "n", "weight").union(
+        groups.join(heads, "member").join(tops, "run").join(weights, "run").filter("head <> top")
+        .selectExpr("top AS a", "t AS m", "head AS b", "m AS n", "weight"))
+    stars = stage(stars.groupBy("a", "m", "b", "n").agg(F.sum("weight").alias("shared"))
+                  .filter(enough).select("a", "b", "n"), "stars")
     links = _verified(docs, narrow, stars, words, percent)
-    parts = components(links, "a", "b")
-
-    # What is left: shingles whose nodes are in several components.
-    named = shared.join(parts, F.col("sig") == F.col("node"), "left").select(
-        "token", "sig", "n", F.coalesce("component", "sig").alias("component"))
-    named = stage(named, "named")
-    mixed_tokens = (named.groupBy("token").agg(F.min("component").alias("lo"),
-                                               F.max("component").alias("hi"))
-                    .filter("lo <> hi").select("token"))
-    open_rows = stage(named.join(mixed_tokens, "token", "left_semi").distinct(), "open")
-    other = open_rows.toDF("token", "b", "m", "other")
-    rest = stage(open_rows.join(other, "token")
+    parts = stage(components(links, "a", "b"), "parts")
+
+    # What is left: shingles whose sets are in several components.
+    rows = runs.select("run", "member", "n").union(
+        groups.join(runs.select(F.col("run").alias("member"), F.col("member").alias("sig"), "n"),
+                    "member").select("run", "sig", "n").distinct())
+    named = stage(rows.join(parts, F.col("member") == F.col("node"), "left").select(
+        "run", F.col("member").alias("sig"), "n",
+        F.coalesce("component", "member").alias("component")), "named")
+    several = stage(named.groupBy("run").agg(F.min("component").alias("lo"),
+                                             F.max("component").alias("hi"))
+                    .filter("lo <> hi").select("run").join(weights, "run"), "several")
+    open_rows = stage(named.join(several, "run"), "open")
+    other = open_rows.select("run", F.col("sig").alias("b"), F.col("n").alias("m"),
+                             F.col("component").alias("other"))
+    rest = stage(open_rows.join(other, "run")
                  .filter(f"component <> other AND sig < b AND {near}")
-                 .select(F.col("sig").alias("a"), "b").distinct()
-                 .join(stars, ["a", "b"], "left_anti"), "rest")
+                 .groupBy("sig", "n", "b", "m").agg(F.sum("weight").alias("shared"))
+                 .filter(enough).select(F.col("sig").alias("a"), "b", F.col("m").alias("n"))
+                 .join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        parts = components(links.union(_verified(docs, narrow, rest, words, percent)), "a", "b")
+        links = links.union(_verified(docs, narrow, rest, words, percent))
+        parts = stage(components(links, "a", "b"), "parts")
 
     known = narrow.join(parts, F.col("sig") == F.col("node"), "left").select(
         "doc_id", "n", "sig", F.coalesce("component", "sig").alias("component"))
     known = stage(known, "known")
-    lowest = known.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("low"))
+    lowest = stage(known.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("low")),
+                   "lowest")
     return known.filter("n > 0").join(lowest, "component").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("low").alias("component_id")).union(
         known.filter("n = 0").select("doc_id", "n", "doc_id"))
