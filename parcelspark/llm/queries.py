@@ -16,6 +16,7 @@ from parcelspark.llm.langid import identify
 from parcelspark.llm.lines import drop_repeated_lines
 from parcelspark.llm.ngram import ngram_components
 from parcelspark.llm.packing import pack
+from parcelspark.llm.pieces import segmentation_digests
 from parcelspark.llm.tokens import token_budget
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +104,12 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify(table(spark, sf, "documents"))
 
 
+@query("op9_sentencepiece_sampling")
+def sentencepiece_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    return segmentation_digests(table(spark, sf, "documents"),
+                                public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
