@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions.hashing import digest
 from parcelspark.functions.scalars import abs_pct_error, month_index
-from parcelspark.operators.skew import HOT_ROWS, lookup_join, retry_stable_salt
+from parcelspark.operators.skew import HOT_ROWS, lookup_join
 from parcelspark.session import shared_folder, stage
 
 # Categorical columns, and columns that are no features.
@@ -23,7 +23,9 @@ LOW_CARDINALITY = ["property_type", "size_band"]
 HIGH_CARDINALITY = ["geo_h3_r8", "postcode_prefix"]
 NON_FEATURES = ["property_hash", "ingested_at", "source_file"]
 LABEL = "label"
-MAX_LABELS = 1000
+# Rounds without a better error on the validation rows that end the boosting (fixed value), and the
+# rounds of the first attempt; each further attempt doubles them.
+PATIENCE, FIRST_ROUNDS = 50, 64
 
 # Settings of the gradient-boosted challenger.
 GBT_DEFAULTS = dict(lossType="absolute", maxIter=2000, stepSize=0.03, maxDepth=7,
@@ -40,15 +42,15 @@ def encode_past(train: DataFrame, cols: Sequence[str], y: str = LABEL, month: st
     """Add ``{col}_mean``: the smoothed mean label of the value's rows in earlier months.
 
     No row sees its own month, so the encoding cannot leak its label. Labels are summed per value
-    and month first; the prior is the mean of all earlier months.
+    and month first; the prior is the mean of all earlier months. The first month has no past: its
+    encoding is null, for the imputer to fill.
     """
     overall = Window.partitionBy(F.lit(True)).orderBy(month).rowsBetween(
         Window.unboundedPreceding, -1)
     # One row per month.
     prior = stage(train.groupBy(month).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
-                  .select(month, F.coalesce(F.try_divide(
-                      F.sum("_s").over(overall), F.sum("_n").over(overall)), F.lit(0.0))
-                      .alias("_prior")), "prior")
+                  .select(month, F.try_divide(F.sum("_s").over(overall), F.sum("_n").over(overall))
+                          .alias("_prior")), "prior")
     out = lookup_join(train, prior, [month])
     for c in cols:
         past = Window.partitionBy(c).orderBy(month).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,18 +82,13 @@ def model_matrix(df: DataFrame, target: str = "sale_price",
                  carry: Sequence[str] = ("fold", "role")) -> tuple[Pipeline, DataFrame]:
     """(pipeline up to the feature vector, frame with ``label`` = log1p(target)).
 
-    ``carry`` columns stay in the frame without being features. Columns with few values are indexed; the index is kept on the driver, so their number of values
-    is checked. Columns with many values enter as ``{col}_mean`` (see :func:`encode_past`), the
-    month as a number.
+    ``carry`` columns stay in the frame without being features. ``categorical`` columns are indexed,
+    with their labels in the model; columns with very many values belong in ``high_card`` and enter
+    as ``{col}_mean`` (see :func:`encode_past`). The month enters as a number.
     """
     out = df.drop(*drop)
     categorical = [c for c in categorical if c in out.columns]
     high_card = [c for c in high_card if c in out.columns]
-    if categorical:
-        seen = out.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        for c in categorical:
-            if seen[c] > MAX_LABELS:
-                raise ValueError(f"{c} has about {seen[c]} values; pass it in high_card")
     out = out.withColumn(LABEL, F.log1p(target))
     if month in out.columns:
         out = out.withColumn("month_index", month_index(F.col(month)).cast("double"))
@@ -113,30 +110,65 @@ def model_matrix(df: DataFrame, target: str = "sale_price",
     return Pipeline(stages=stages), out
 
 
-def _fit(pipeline: Pipeline, regressor, train: DataFrame) -> PipelineModel:
-    # The folder also receives the checkpoints of iterative training.
+def _checkpoint_folder(train: DataFrame) -> None:
+    """The shared folder also receives the checkpoints of iterative training."""
     folder = shared_folder(train.sparkSession)
     if not train.sparkSession.sparkContext.getCheckpointDir():
         train.sparkSession.sparkContext.setCheckpointDir(folder)
-    return Pipeline(stages=[*pipeline.getStages(), regressor]).fit(train)
+
+
+def _with_bins(regressor, features: PipelineModel):
+    """A copy of the regressor with bins for all labels, if it is a tree learner."""
+    if not regressor.hasParam("maxBins"):
+        return regressor.copy()
+    return regressor.copy({regressor.maxBins: bins_for(features, regressor.getMaxBins())})
+
+
+def _fit(pipeline: Pipeline, regressor, train: DataFrame) -> PipelineModel:
+    _checkpoint_folder(train)
+    features = pipeline.fit(train)
+    model = _with_bins(regressor, features).fit(features.transform(train))
+    return PipelineModel(stages=[*features.stages, model])
+
+
+def bins_for(features: PipelineModel, least: int = 256) -> int:
+    """Bins that tree learners need: one for each label of an indexed column, and the unknown."""
+    labels = [len(x) for s in features.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
+    return max([least, *[n + 1 for n in labels]])
 
 
 def train_gbt(pipeline: Pipeline, train: DataFrame, valid: DataFrame | None = None,
+              patience: int = PATIENCE, first_rounds: int = FIRST_ROUNDS,
               **params) -> PipelineModel:
     """Gradient-boosted trees on the absolute error of ``label``.
 
-    ``valid`` stops the boosting early. It must not be the holdout that is reported: take the last
+    With ``valid`` the model keeps the round with the lowest error there, once ``patience`` rounds
+    passed without a lower one; ``maxIter`` bounds the rounds. An attempt that ends too soon is
+    made again with twice the rounds: the same seed grows the same first trees. Feature stages are
+    fitted on ``train`` only. ``valid`` must not be the holdout that is reported: take the last
     months before it.
     """
     settings = GBT_DEFAULTS | params
-    gbt = GBTRegressor(featuresCol="features", labelCol=LABEL, maxBins=max(
-        settings.pop("maxBins", 256), 2), **settings)
-    rows = train
-    if valid is not None:
-        gbt.setValidationIndicatorCol("_valid")
-        rows = (train.withColumn("_valid", F.lit(False))
-                .unionByName(valid.withColumn("_valid", F.lit(True))))
-    return _fit(pipeline, gbt, rows)
+    features = pipeline.fit(train)
+    gbt = GBTRegressor(featuresCol="features", labelCol=LABEL, maxBins=bins_for(
+        features, max(settings.pop("maxBins", 256), 2)), **settings)
+    _checkpoint_folder(train)
+    rows = stage(features.transform(train).select(LABEL, "features"), "fit")
+    if valid is None:
+        return PipelineModel(stages=[*features.stages, gbt.fit(rows)])
+    held = stage(features.transform(valid).select(LABEL, "features"), "held")
+    most = settings["maxIter"]
+    rounds = min(first_rounds, most)
+    while True:
+        model = gbt.copy({gbt.maxIter: rounds}).fit(rows)
+        errors = model.evaluateEachIteration(held, gbt.getLossType())
+        best = int(np.argmin(errors)) + 1
+        if best + patience <= rounds or rounds == most:
+            break
+        rounds = min(2 * rounds, most)
+    if best < rounds:
+        model = gbt.copy({gbt.maxIter: best}).fit(rows)
+    return PipelineModel(stages=[*features.stages, model])
 
 
 def predict_price(model: PipelineModel, df: DataFrame, out: str = "pred") -> DataFrame:
@@ -189,14 +221,14 @@ def model_search(folds: DataFrame, grid: dict[str, object] | None = None,
         test_rows = stage(prepared.transform(encode_known(test.drop(*means), train, high))
                           .select(LABEL, target, "features"), "test")
         for name, regressor in grid.items():
-            scored = regressor.fit(fit_rows).transform(test_rows).withColumn(
+            scored = _with_bins(regressor, prepared).fit(fit_rows).transform(test_rows).withColumn(
                 "pred", F.expm1("prediction"))
             results.append((name, int(number), nrmse(scored, target, "pred").first()[0]))
     board = folds.sparkSession.createDataFrame(results,
                                                "candidate string, fold int, nrmse double")
     scores = pd.DataFrame(results, columns=["candidate", "fold", "nrmse"])
     best = scores.groupby("candidate")["nrmse"].mean().sort_values().index[:top]
-    return [_fit(pipeline, grid[name].copy(), full) for name in best], board, pipeline
+    return [_fit(pipeline, grid[name], full) for name in best], board, pipeline
 
 
 def vote(models: Sequence[PipelineModel], df: DataFrame, out: str = "pred") -> DataFrame:
@@ -276,8 +308,9 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     key = list(key) or [c for c in df.columns]
     rows = df.count()
     buckets = max(rows // bucket_rows, 1)
+    # Buckets come from the digest, so the figures don't depend on how the rows lie.
     mixed = df.withColumn("_hex", digest(seed, *key)).withColumn(
-        "_bucket", retry_stable_salt(df, F.lit(buckets)))
+        "_bucket", F.pmod(F.xxhash64("_hex"), F.lit(buckets)))
     order = Window.partitionBy("_bucket").orderBy("_hex", *features)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     others = {f"_other_{f}": F.struct(F.coalesce(

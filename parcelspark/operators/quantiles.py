@@ -113,13 +113,15 @@ def keyed_percentiles(df: DataFrame, by: Sequence[str],
     and one column per aggregate in ``extra``.
 
     For keys with very many groups. Groups of at most ``hot_rows`` rows use the built-in exact
-    aggregate; larger ones go through :func:`exact_percentiles`. Groups without a value give null;
-    rows with a null key are left out.
+    aggregate; larger ones go through :func:`exact_percentiles`. NaN counts as null, so both give
+    the same figures. Groups without a value give null; rows with a null key are left out.
     """
     by, extra = list(by), extra or {}
     df = df.dropna(subset=by)
-    values = {name: (F.col(v) if isinstance(v, str) else v).cast("double")
-              for name, (v, _) in wanted.items()}
+    values = {}
+    for name, (v, _) in wanted.items():
+        value = (F.col(v) if isinstance(v, str) else v).cast("double")
+        values[name] = F.when(~F.isnan(value), value)
     others = [c.alias(name) for name, c in extra.items()]
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     hot = stage(sizes.filter(F.col("_n") > hot_rows).drop("_n"), "hot")

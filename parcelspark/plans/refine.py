@@ -212,17 +212,37 @@ def snapshot_latest(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.sum("sale_price"), 2).alias("total_price"))
 
 
-@query("landing_reconcile", f"""WITH {B}, s AS (SELECT sale_month, count(*) AS n,
-  round(sum(sale_price), 2) AS t FROM b GROUP BY sale_month)
-SELECT sale_month, n AS src_rows, n AS dst_rows, t AS src_sale_price, t AS dst_sale_price,
-  true AS matches FROM s""")
+@query("landing_reconcile", f"""WITH {B}, s AS (SELECT CASE WHEN sale_month <> '1995-01' THEN sale_month
+  END AS sale_month, count(*) AS n, round(sum(sale_price), 2) AS t FROM b GROUP BY 1),
+k AS (SELECT 'same' AS landed UNION ALL SELECT 'changed' UNION ALL SELECT 'swapped'
+  UNION ALL SELECT 'lost')
+SELECT landed, sale_month, n AS src_rows, n AS dst_rows, t AS src_sale_price,
+  CASE WHEN landed = 'changed' AND sale_month = '1996-05' THEN round(t + n, 2) ELSE t END AS dst_sale_price,
+  CASE landed WHEN 'same' THEN true WHEN 'lost' THEN false
+    ELSE sale_month IS DISTINCT FROM '1996-05' END AS matches
+FROM s CROSS JOIN k""")
 def landing_reconcile(spark, sf):
-    src = bronze(spark, sf)
-    path = scratch_path(spark, "landing")
-    tables.write_table(src, path)
-    out = landing.reconcile(src, landing.read_landing(spark, path), ["sale_month"],
-                            ["sale_price"])
-    return out.select("sale_month", "src_rows", "dst_rows",
+    """A faithful copy; one with changed prices, one with a value moved to an empty column in a
+    month, and one without a column. The first month's partition is null."""
+    src = bronze(spark, sf).withColumn("sale_month", F.expr(
+        "CASE WHEN sale_month <> '1995-01' THEN sale_month END")).withColumn(
+        "note", F.lit(None).cast("string"))
+    hit = F.coalesce(F.col("sale_month") == "1996-05", F.lit(False))
+    landed = {
+        "same": src,
+        "changed": src.withColumn("sale_price", F.when(hit, F.col("sale_price") + 1)
+                                  .otherwise(F.col("sale_price"))),
+        "swapped": src.withColumn("note", F.when(hit, F.col("postcode_prefix"))).withColumn(
+            "postcode_prefix", F.when(~hit, F.col("postcode_prefix"))),
+        "lost": src.drop("rooms")}
+    out = None
+    for name, df in landed.items():
+        path = scratch_path(spark, "landing")
+        df.write.parquet(path)
+        one = landing.reconcile(src, spark.read.parquet(path), ["sale_month"], ["sale_price"])
+        one = one.withColumn("landed", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out.select("landed", "sale_month", "src_rows", "dst_rows",
                       F.round("src_sale_price", 2).alias("src_sale_price"),
                       F.round("dst_sale_price", 2).alias("dst_sale_price"), "matches")
 

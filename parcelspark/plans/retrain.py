@@ -16,6 +16,9 @@ from parcelspark.plans.registry import B, query
 from parcelspark.session import scratch_path, stage
 from parcelspark.sources.tables import publish_snapshot, read_snapshot
 
+# The registered queries learn in large steps; patience, not a number of rounds, ends the boosting.
+FAST = dict(maxDepth=4, stepSize=0.3, maxBins=64, patience=10, first_rounds=24)
+
 
 @dataclass
 class Retrained:
@@ -69,7 +72,7 @@ def _gold(spark, sf):
   coalesce(sum(s) OVER past, 0) AS ps, coalesce(sum(n) OVER past, 0) AS pn FROM h WINDOW past AS
   (PARTITION BY geo_h3_r8 ORDER BY sale_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 m AS (SELECT sale_month, sum(s) AS s, sum(n) AS n FROM h GROUP BY sale_month),
-p AS (SELECT sale_month, coalesce(sum(s) OVER past / sum(n) OVER past, 0) AS prior FROM m WINDOW past
+p AS (SELECT sale_month, sum(s) OVER past / sum(n) OVER past AS prior FROM m WINDOW past
   AS (ORDER BY sale_month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT sale_month, geo_h3_r8, count(*) AS n, round(avg((ps + prior * 20) / (pn + 20)), 6) AS cell_mean,
   round(avg(ln(1 + sale_price)), 6) AS label, round(avg(CAST(substr(sale_month, 1, 4) AS INT) * 12
@@ -88,8 +91,7 @@ def model_matrix(spark, sf):
 @query("train_gbt")
 def train_gbt(spark, sf):
     pipeline, train, valid, holdout = prepare(_gold(spark, sf))
-    model = modeling.train_gbt(pipeline, train, valid, maxIter=10, maxDepth=4, stepSize=0.3,
-                               maxBins=64)
+    model = modeling.train_gbt(pipeline, train, valid, **FAST)
     return evaluate.global_metrics(modeling.predict_price(model, holdout))
 
 
@@ -104,28 +106,34 @@ def model_search(spark, sf):
 
 @query("isotonic_calibration", f"""WITH {B}, r AS (SELECT region_code, min(champion_pred) AS lo,
   max(champion_pred) AS hi FROM b GROUP BY region_code),
-p AS (SELECT region_code, CAST(least(floor((ln(champion_pred) - ln(lo)) / (ln(hi) - ln(lo)) * 20), 19)
-  AS INT) AS bin, avg(champion_pred) AS x, avg(sale_price) AS y, count(*) AS n
-  FROM b JOIN r USING (region_code) GROUP BY ALL),
+q AS (SELECT b.*, CAST(least(floor((ln(champion_pred) - ln(lo)) / (ln(hi) - ln(lo)) * 1000), 999)
+  AS INT) AS bin FROM b JOIN r USING (region_code)),
+p AS (SELECT region_code, bin, avg(champion_pred) AS x, avg(sale_price) AS y, count(*) AS n
+  FROM q GROUP BY ALL),
 c AS (SELECT *, sum(n) OVER w AS cn, sum(n * y) OVER w AS cy FROM p
   WINDOW w AS (PARTITION BY region_code ORDER BY bin)),
-f AS (SELECT region_code, i.bin AS bin, j.bin AS jb,
-  min((k.cy - (j.cy - j.n * j.y)) / (k.cn - (j.cn - j.n))) AS low
-  FROM c i JOIN c j USING (region_code) JOIN c k USING (region_code)
-  WHERE j.bin <= i.bin AND k.bin >= i.bin GROUP BY ALL),
+f AS (SELECT region_code, j.bin AS jb, k.bin AS bin,
+  min((k.cy - (j.cy - j.n * j.y)) / (k.cn - (j.cn - j.n))) OVER
+    (PARTITION BY region_code, j.bin ORDER BY k.bin DESC) AS low
+  FROM c j JOIN c k USING (region_code) WHERE j.bin <= k.bin),
 g AS (SELECT region_code, bin, max(low) AS fit FROM f GROUP BY ALL)
-SELECT region_code, bin, round(fit / x, 6) AS factor FROM g JOIN p USING (region_code, bin)""")
+SELECT region_code, property_type, count(*) AS n, round(sum(champion_pred), 2) AS before,
+  round(sum(champion_pred * fit / x), 2) AS calibrated
+FROM q JOIN g USING (region_code, bin) JOIN p USING (region_code, bin) GROUP BY ALL""")
 def isotonic_calibration(spark, sf):
     df = bronze(spark, sf, ["champion_pred", "region_code"])
-    _, curve = modeling.isotonic_fit(df, "region_code", pred="champion_pred", bins=20)
-    return curve.withColumn("factor", F.round("factor", 6))
+    fitted = modeling.isotonic_fit(df, "region_code", pred="champion_pred")
+    out = modeling.isotonic_apply(df.withColumn("pred", F.col("champion_pred")), fitted,
+                                  "region_code")
+    return out.groupBy("region_code", "property_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("champion_pred"), 2).alias("before"),
+        F.round(F.sum("pred"), 2).alias("calibrated"))
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     pipeline, train, valid, holdout = prepare(_gold(spark, sf))
-    model = modeling.train_gbt(pipeline, train, valid, maxIter=5, maxDepth=4, stepSize=0.3,
-                               maxBins=64)
+    model = modeling.train_gbt(pipeline, train, valid, **FAST)
     return modeling.permutation_importance(
         model, holdout, ["size_sqm", "rooms", "year_built", "geo_h3_r8_mean"])
 
@@ -134,4 +142,4 @@ def permutation_importance(spark, sf):
 def retrain_gates(spark, sf):
     base = scratch_path(spark, "gold")
     publish_snapshot(_gold(spark, sf), base, "2026.05.12")
-    return retrain(spark, base, maxIter=5, maxDepth=4, stepSize=0.3, maxBins=64).gates
+    return retrain(spark, base, **FAST).gates

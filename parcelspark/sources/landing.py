@@ -49,27 +49,41 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def checksum(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Order-insensitive checksum: sum of row hashes as a wide decimal."""
-    return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
+    """Order-insensitive checksum: sum of row hashes as a wide decimal.
+
+    Null flags are hashed with the values: a hash alone passes over nulls, so that a value which
+    moved to another column would not show.
+    """
+    flags = [F.col(c).isNull() for c in cols]
+    return F.sum(F.xxhash64(*flags, *cols).cast("decimal(38,0)"))
 
 
 def reconcile(src: DataFrame, dst: DataFrame, by: Sequence[str],
               totals: Sequence[str] = ()) -> DataFrame:
     """Compare source and landed rows per partition: counts, sums of ``totals``, checksum, match.
 
-    Both sides are reduced with partial sums before they meet.
+    Nothing matches when a column was lost, added or has another type; a null partition is compared
+    like any other. Both sides are reduced with partial sums before they meet.
     """
+    by = list(by)
     cols = sorted(set(src.columns) & set(dst.columns))
+    alike = dict(src.dtypes) == dict(dst.dtypes)
 
     def side(df, name):
         return df.groupBy(*by).agg(
             F.count(F.lit(1)).alias(f"{name}_rows"), checksum(df, cols).alias(f"{name}_checksum"),
             *[F.sum(t).alias(f"{name}_{t}") for t in totals])
 
-    joined = side(src, "src").join(side(dst, "dst"), list(by), "full")
+    left = side(src, "src")
+    right = side(dst, "dst").withColumnsRenamed({c: f"_dst_{c}" for c in by})
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_dst_{c}"))
+    joined = left.join(right, on, "full").withColumns(
+        {c: F.coalesce(c, f"_dst_{c}") for c in by}).drop(*[f"_dst_{c}" for c in by])
     same = (F.col("src_rows").eqNullSafe(F.col("dst_rows"))
             & F.col("src_checksum").eqNullSafe(F.col("dst_checksum")))
-    return joined.withColumn("matches", same)
+    return joined.withColumn("matches", same & F.lit(alike))
 
 
 def retention_tier(df: DataFrame, ts: str, as_of: str, hot_months: int = 12,

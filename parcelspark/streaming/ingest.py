@@ -10,8 +10,16 @@ from pyspark.sql.streaming import StreamingQuery
 from parcelspark.sources.landing import BRONZE_SCHEMA, stamp_ingest
 
 
+# Tasks that may write one folder in one batch.
+WRITERS = 8
+
+
 def _sink(df: DataFrame, dst: str, checkpoint: str, partition_by: list[str],
           once: bool) -> StreamingQuery:
+    # Rows of a folder meet in few tasks, so a batch leaves few files; the salt, from the rows
+    # themselves, keeps a large folder from filling one task.
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    df = df.repartition(*partition_by, F.pmod(F.xxhash64(*plain), F.lit(WRITERS)))
     writer = (df.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
               .option("path", dst).option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if once else writer).start()

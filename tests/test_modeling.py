@@ -31,7 +31,7 @@ def test_encoding_sees_only_the_past(spark):
                                 ("a", "2021-03", 7.0)], "c string, sale_month string, label double")
     got = {(r["c"], r["sale_month"]): r["c_mean"] for r in
            modeling.encode_past(df, ["c"], weight=1.0).collect()}
-    assert got[("a", "2021-01")] == 0.0
+    assert got[("a", "2021-01")] is None  # no past yet: left to the imputer
     assert got[("a", "2021-02")] == pytest.approx((1 + 1) / 2)
     assert got[("b", "2021-02")] == pytest.approx(1.0)
     assert got[("a", "2021-03")] == pytest.approx((6 + 5) / 3)
@@ -48,11 +48,27 @@ def test_matrix_drops_identifiers_and_keeps_no_month_text(gold):
     assert not any("sale_price" in c or c == "sale_month" for c in inputs)
 
 
-def test_many_labels_are_refused(spark):
+def test_many_labels_get_bins(spark):
     df = spark.range(3000).select(F.col("id").cast("string").alias("property_type"),
-                                  F.lit(1.0).alias("sale_price"))
-    with pytest.raises(ValueError, match="high_card"):
-        modeling.model_matrix(df)
+                                  F.lit(1.0).alias("size_sqm"), F.lit(1.0).alias("sale_price"))
+    pipeline, rows = modeling.model_matrix(df, high_card=[])
+    assert modeling.bins_for(pipeline.fit(rows)) == 3001
+
+
+def test_boosting_goes_on_while_the_error_falls(spark):
+    df = spark.range(1200).select(
+        (F.col("id") % 97).cast("double").alias("size_sqm"), F.lit("a").alias("property_type"),
+        ((F.col("id") % 97) * 1000.0 + 500).alias("sale_price"),
+        (F.col("id") % 4 == 0).alias("held"))
+    pipeline, rows = modeling.model_matrix(df, high_card=[], carry=["held"])
+    train, valid = rows.filter("NOT held"), rows.filter("held")
+    model = modeling.train_gbt(pipeline, train, valid, maxIter=70, maxDepth=2, stepSize=0.1,
+                               minInstancesPerNode=5, subsamplingRate=1.0, patience=10, first_rounds=70)
+    kept = model.stages[-1].getNumTrees
+    assert 50 < kept <= 70
+    errors = model.stages[-1].evaluateEachIteration(model.transform(valid).drop("prediction"),
+                                                    "absolute")
+    assert errors[-1] == min(errors)
 
 
 def test_train_score_and_save(spark, prepared):
