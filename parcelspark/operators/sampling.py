@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions.hashing import digest, uniform
 from parcelspark.functions.scalars import size_band
 from parcelspark.operators.skew import lowest_share
+from parcelspark.session import stage
 
 # Strata and columns that must be known.
 STRATA = ["region_code", "property_type", "sale_year"]
@@ -47,12 +48,14 @@ def time_split(df: DataFrame, month_col: str = "sale_month",
     """(train, holdout): the holdout is the last ``holdout_months`` distinct months.
 
     The cutoff is a scalar subquery, so it also prunes partitions by month. Fewer months than asked
-    raise a ValueError; this looks only at the distinct months.
+    raise a ValueError. The distinct months are found in one pass over the month column; rows
+    without a month are in neither part.
     """
-    found = df.select(month_col).distinct().count()
+    months = stage(df.select(month_col).filter(F.col(month_col).isNotNull()).distinct(), "months")
+    found = months.count()
     if found < holdout_months:
         raise ValueError(f"need {holdout_months} distinct months, found {found}")
-    cutoff = _nth_last_month(df, month_col, holdout_months).scalar()
+    cutoff = _nth_last_month(months, month_col, holdout_months).scalar()
     return df.filter(F.col(month_col) < cutoff), df.filter(F.col(month_col) >= cutoff)
 
 

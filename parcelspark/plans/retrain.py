@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelspark.functions.scalars import abs_pct_error
 from parcelspark.operators import evaluate, modeling, sampling
 from parcelspark.operators.features import gold_features
 from parcelspark.plans.fixtures import bronze
@@ -88,11 +90,29 @@ def model_matrix(spark, sf):
         F.round(F.avg("month_index"), 6).alias("month_index"))
 
 
-@query("train_gbt")
+# Months from the sixth last on are the holdout; `g` follows `b`.
+_HOLDOUT = ("g AS (SELECT min(sale_month) AS cutoff FROM (SELECT DISTINCT sale_month FROM b"
+            " ORDER BY sale_month DESC LIMIT 6)), known AS (SELECT median(sale_price) AS middle"
+            " FROM b, g WHERE sale_month < cutoff)")
+
+
+@query("train_gbt", f"""WITH {B}, {_HOLDOUT}
+SELECT count(*) AS n, min(sale_month) AS first_month, max(sale_month) AS last_month,
+  round(avg(abs(sale_price - middle) / sale_price), 6) AS median_mape, true AS beats_median
+FROM b, g, known WHERE sale_month >= cutoff""")
 def train_gbt(spark, sf):
+    """Facts of the holdout, and whether the model beats the median of the months before it."""
     pipeline, train, valid, holdout = prepare(_gold(spark, sf))
     model = modeling.train_gbt(pipeline, train, valid, **FAST)
-    return evaluate.global_metrics(modeling.predict_price(model, holdout))
+    before = train.select("sale_price").union(valid.select("sale_price"))
+    middle = before.agg(F.percentile("sale_price", 0.5)).first()[0]
+    scored = modeling.predict_price(model, holdout)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.min("sale_month").alias("first_month"),
+        F.max("sale_month").alias("last_month"),
+        F.round(F.avg(abs_pct_error(F.col("sale_price"), F.lit(middle))), 6).alias("median_mape"),
+        (F.avg(abs_pct_error(F.col("sale_price"), F.col("pred")))
+         < F.avg(abs_pct_error(F.col("sale_price"), F.lit(middle)))).alias("beats_median"))
 
 
 @query("model_search")
@@ -130,12 +150,30 @@ def isotonic_calibration(spark, sf):
         F.round(F.sum("pred"), 2).alias("calibrated"))
 
 
-@query("permutation_importance")
+# A fixed model, so that the figures can be computed in SQL as well.
+_LINEAR = "8 + 0.4 * ln(1 + {size_sqm}) + 0.05 * {rooms} + 0.0005 * {year_built}"
+_MOVED = ["size_sqm", "rooms", "year_built"]
+
+
+def _linear(moved: str | None, other: str = "") -> str:
+    return _LINEAR.format(**{c: (other + c if c == moved else c) for c in _MOVED})
+
+
+@query("permutation_importance", f"""WITH {B}, o AS (SELECT *, {", ".join(
+    f"coalesce(lead({c}) OVER w, first_value({c}) OVER w) AS o_{c}" for c in _MOVED)}
+  FROM (SELECT *, sha256('42' || property_hash) AS hex FROM b) WINDOW w AS
+  (ORDER BY hex, size_sqm, rooms, year_built)),
+e AS (SELECT {", ".join(
+    f"avg(abs(sale_price - (exp({_linear(c, 'o_')}) - 1)) / sale_price) AS m_{c or 'base'}"
+    for c in [None, *_MOVED])} FROM o)
+{" UNION ALL ".join(f"SELECT '{c}' AS feature, round(m_{c}, 6) AS mape,"
+                    f" round(m_{c} - m_base, 6) AS importance FROM e" for c in _MOVED)}""")
 def permutation_importance(spark, sf):
-    pipeline, train, valid, holdout = prepare(_gold(spark, sf))
-    model = modeling.train_gbt(pipeline, train, valid, **FAST)
-    return modeling.permutation_importance(
-        model, holdout, ["size_sqm", "rooms", "year_built", "geo_h3_r8_mean"])
+    model = PipelineModel(stages=[SQLTransformer(
+        statement=f"SELECT *, {_linear(None)} AS prediction FROM __THIS__")])
+    out = modeling.permutation_importance(model, _gold(spark, sf), _MOVED, key=["property_hash"])
+    return out.select("feature", F.round("mape", 6).alias("mape"),
+                      F.round("importance", 6).alias("importance"))
 
 
 @query("retrain_gates")
