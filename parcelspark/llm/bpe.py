@@ -146,8 +146,9 @@ class WordTable:
     ``learn`` gives the arrays of new words, one after the other, and their sizes.
     """
 
-    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype: str):
-        self._learn, self._dtype = learn, dtype
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype: str,
+                 limit: int = CACHED):
+        self._learn, self._dtype, self._limit = learn, dtype, limit
         self._clear()
 
     def _clear(self) -> None:
@@ -167,7 +168,7 @@ class WordTable:
             return at
         missing = np.flatnonzero(~known)
         new, where = np.unique(keys[missing], return_index=True)
-        if len(self.keys) and len(self.keys) + len(new) > CACHED:
+        if len(self.keys) and len(self.keys) + len(new) > self._limit:
             self._clear()
             return self.look_up(data, starts)
         stops = np.append(starts, len(data))

@@ -19,8 +19,9 @@ from parcelspark.llm.common import slices, spread, text_or_empty
 SAMPLES, ALPHA, SEED = 2, 0.0005, 23
 #: What a character that only byte pieces can write costs, in scores below the lowest piece.
 FALLBACK = 10.0
-#: Columns that a lattice keeps of an edge.
-WIDTH = 7
+#: Columns that a lattice keeps of an edge, and words whose lattices a worker remembers (about
+#: 1.5 KB each) before it starts anew.
+WIDTH, REMEMBERED = 7, 100_000
 _SPACE = "▁".encode()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,7 +85,7 @@ class Lattice:
         # its log-probability, what the other edges of the place share, the probability up to it
         # among those of the place, and the first edge of the place it leads to, counted from the
         # word's first edge (-1: the word's end). Edges lie by word and place.
-        self.edges = WordTable(self._learn, "f8")
+        self.edges = WordTable(self._learn, "f8", REMEMBERED)
 
     def _hash_table(self) -> tuple[np.ndarray, np.ndarray]:
         self.value = np.random.default_rng(9).integers(1, 1 << 63, 256).astype(np.uint64)
