@@ -20,6 +20,8 @@ CAPACITY = 1024
 BUCKETS = 256
 #: Fillings kept for one largest document, and nodes the search may visit after its incumbent.
 FILLINGS, NODES = 6, 4000
+#: Waste, in tokens, that a completion may have for each document that it uses less.
+THRIFT = (0, 1, 3, 8, 20)
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
@@ -56,12 +58,12 @@ class _Counts:
     def __init__(self, counts: np.ndarray, capacity: int):
         self.n, self.capacity = counts.astype(np.int64).copy(), capacity
 
-    def fillings(self, free: int, most_waste: int) -> list[tuple[int, ...]]:
-        """Undominated fillings of ``free``, least waste first, larger documents first.
+    def fillings(self, free: int, thrift: int) -> list[tuple[int, ...]]:
+        """Undominated fillings of ``free``, best first, larger documents first.
 
-        A filling is a descending tuple of lengths. Which sums can be reached at all, counts aside,
-        prunes the branches; one that wastes more than ``most_waste`` or can still take a document
-        is dominated.
+        A filling is a descending tuple of lengths; it is the better the less it wastes, and the
+        fewer documents it uses up at ``thrift`` tokens each. Which sums can be reached at all
+        prunes the branches, and so does the best filling found: one that wastes more is dominated.
         """
         lengths = np.flatnonzero(self.n[:free + 1])[::-1]
         lengths = lengths[lengths > 0].tolist()
@@ -79,15 +81,17 @@ class _Counts:
                     break
             reach.append(have)
         reach.reverse()
-        found: list[tuple[int, ...]] = []
-        for total in range(free, max(0, free - most_waste) - 1, -1):
+        found: list[tuple[int, tuple[int, ...]]] = []
+        for total in range(free, -1, -1):
+            if found and free - total + thrift >= min(found)[0]:
+                break
             if not reach[0] >> total & 1:
                 continue
-            stack = [(0, total, ())]
-            while stack and len(found) < FILLINGS:
+            stack, before = [(0, total, ())], len(found)
+            while stack and len(found) < before + FILLINGS:
                 i, left, taken = stack.pop()
                 if not left:
-                    found.append(taken)
+                    found.append((free - total + thrift * len(taken), taken))
                     continue
                 options = []
                 while i < len(lengths):
@@ -104,26 +108,57 @@ class _Counts:
                         options.pop()
                     i += 1
                 stack.extend(options)
-            if len(found) >= FILLINGS or found:
+        return [taken for _, taken in sorted(found, key=lambda x: x[0])[:FILLINGS]] or [()]
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing over length counts: the first incumbent.
+
+    Equal documents go into the fullest bins that have room, as many into each as it takes.
+    """
+    bins: dict[int, dict[tuple[int, ...], int]] = {capacity: {(): int(counts.sum()) + 1}}
+    for length in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[length])
+        for free in sorted(f for f in bins if f >= length):
+            for filling in list(bins[free]):
+                each = free // length
+                for k in (each, left % each):
+                    times = min(left // k, bins[free][filling]) if k else 0
+                    if times:
+                        bins[free][filling] -= times
+                        room = bins.setdefault(free - k * length, {})
+                        grown = filling + (length,) * k
+                        room[grown] = room.get(grown, 0) + times
+                        left -= times * k
+            if not left:
                 break
-        return found or [()]
+    return [(f, n) for group in bins.values() for f, n in group.items() if f and n]
 
 
 def complete_bins(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Fillings and how often each is used, for ``counts[length]`` documents of each length.
 
     Bin completion: the largest document left gets a completion, used as often as the counts of
-    its lengths allow. Completions are tried from least waste; the first descent is a best-fit
-    solution and the incumbent. The search goes back over the last choices and drops a branch when
-    its waste so far already rules out fewer bins; it ends at the lower bound of the total length
+    its lengths allow. The best-fit solution is the first incumbent. Descents that spare small
+    documents more and more follow; each goes back over its last choices and drops a branch when
+    its waste so far already rules out fewer bins, and ends at the lower bound of the total length
     or after NODES fillings. Work depends on the number of lengths, not of documents.
     """
     counts = np.asarray(counts, np.int64).copy()
     total = int((counts * np.arange(len(counts))).sum())
     over_half = int(counts[capacity // 2 + 1:].sum())
     bound = max(-(-total // capacity), over_half)
-    best: list | None = None
-    best_bins = int(counts.sum()) + 1
+    best = best_fit(counts, capacity)
+    best_bins = sum(times for _, times in best)
+    for thrift in THRIFT:
+        if best_bins <= bound:
+            break
+        best, best_bins = _descend(counts, capacity, thrift, best, best_bins, bound, total)
+    return best
+
+
+def _descend(counts, capacity, thrift, best, best_bins, bound, total):
+    """Branch and bound with one way to rank completions; the better of incumbent and find."""
     visited = 0
 
     def take(state: _Counts, largest: int, filling: tuple[int, ...]) -> int:
@@ -145,14 +180,14 @@ def complete_bins(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tu
                 break
             continue
         slack = (best_bins - 1) * capacity - total - waste
-        if best is not None and (slack < 0 or visited >= NODES):
-            if visited >= NODES:
-                break
+        if visited >= NODES + len(counts):
+            break
+        if slack < 0:
             continue
         largest = int(left[-1])
         if options is None:
             state.n[largest] -= 1
-            options = state.fillings(capacity - largest, capacity - largest)
+            options = state.fillings(capacity - largest, thrift)
             state.n[largest] += 1
         filling, rest = options[0], options[1:]
         if rest:
@@ -163,10 +198,10 @@ def complete_bins(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tu
         nextstate = _Counts(state.n, capacity)
         times = take(nextstate, largest, filling)
         spare = capacity - largest - sum(filling)
-        visited += best is not None
+        visited += 1
         trail.append((nextstate, [*plan, ((largest, *filling), times)], bins + times,
                       waste + times * spare, None))
-    return best or []
+    return best, best_bins
 
 
 def slots_of(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
