@@ -96,13 +96,15 @@ def psi(base: DataFrame, cur: DataFrame, features: Sequence[str], bins: int = 10
     null has its own bin."""
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"))
                       for f in features])
+    # Both sides are read once, into one narrow table.
+    rows = stage(_both(base, cur, pairs), "values")
     # One row per name in `features`.
-    edges = exact_percentiles(base.select(F.inline(pairs)), "v",
+    edges = exact_percentiles(rows.filter(F.col("_side") == "base"), "v",
                               [i / bins for i in range(1, bins)], ["feature"],
                               bounded_groups=True).select("feature", F.col("p").alias("_edges"))
     below = sum(((F.col("_edges")[i] < F.col("v")).cast("int") for i in range(bins - 1)),
                 F.lit(0))
-    binned = (_both(base, cur, pairs).join(F.broadcast(edges), "feature")
+    binned = (rows.join(F.broadcast(edges), "feature")
               .withColumn("bin", F.coalesce(below, F.lit(-1))))
     return _index(binned.groupBy("feature", "bin").agg(
         F.count_if(F.col("_side") == "base").alias("base"),

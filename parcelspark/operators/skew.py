@@ -52,8 +52,9 @@ def salted_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str],
     """Equi-join whose hot keys are split over many tasks (``how``: left, inner, left_semi,
     left_anti)."""
     keys = list(keys)
-    # Fewer than SHARE rows by the definition of a hot key, so this broadcast is bounded.
-    hot = F.broadcast(hot_keys(facts.select(*keys), keys))
+    # Fewer than SHARE rows by the definition of a hot key, so this broadcast is bounded; staged,
+    # since both sides take it.
+    hot = F.broadcast(stage(hot_keys(facts.select(*keys), keys), "hot"))
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
@@ -93,7 +94,8 @@ def lowest_share(df: DataFrame, by: Sequence[str], fraction: float, hex_key: Col
     columns = df.columns
     keyed = df.withColumn("_hex", hex_key)
     word = F.conv(F.substring("_hex", 1, 12), 16, 10).cast("bigint")
-    keyed = keyed.withColumn("_word", word)
+    # Read and hashed once; the counts and the two selections below go over the staged rows.
+    keyed = stage(keyed.withColumn("_word", word), "hashed")
 
     cuts, used = None, bits
     while True:

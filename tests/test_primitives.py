@@ -93,6 +93,18 @@ def test_exact_percentiles_by_skewed_key(spark):
         np.testing.assert_allclose(p, want.loc[k])
 
 
+def test_keyed_percentiles_pass_over_nan_at_any_size(spark):
+    inf = float("inf")
+    rows = [("a", x) for x in (1.0, 2.0, float("nan"))] + [("b", float("nan"))] + [
+        ("c", x) for x in (None, 5.0, inf)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for hot in (1, 1_000_000):
+        got = {r["k"]: r["p"] for r in keyed_percentiles(df, ["k"], {"p": ("v", [0.0, 0.5])},
+                                                         hot_rows=hot).collect()}
+        assert got["a"] == [1.0, 1.5] and got["c"] == [5.0, inf]
+        assert got["b"] is None or got["b"] == [None, None]
+
+
 def test_keyed_percentiles_hot_and_cold_agree(spark):
     df = skewed(spark)
     wanted = {"m": ("v", [0.5]), "w": (F.col("v") * 2, [0.9])}

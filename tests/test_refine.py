@@ -214,6 +214,18 @@ def test_reconcile_finds_a_changed_row(spark):
     assert values(missing.filter("not matches"), "sale_month") == ["2021-01"]
 
 
+def test_reconcile_sees_moved_nulls_lost_columns_and_null_partitions(spark):
+    kind = "m string, a string, b string"
+    src = spark.createDataFrame([("1", "x", None), (None, "y", "z")], kind)
+    moved = spark.createDataFrame([("1", None, "x"), (None, "y", "z")], kind)
+    got = {r["m"]: r["matches"] for r in landing.reconcile(src, moved, ["m"]).collect()}
+    assert got == {"1": False, None: True}
+    assert landing.reconcile(src, src, ["m"]).filter("matches").count() == 2
+    assert landing.reconcile(src, src.drop("b"), ["m"]).filter("matches").count() == 0
+    wide = src.withColumn("b", F.lit(1))
+    assert landing.reconcile(src, wide, ["m"]).filter("matches").count() == 0
+
+
 def test_retention_edges(spark):
     df = spark.createDataFrame([("2025-06-01",), ("2025-05-31",), ("2019-06-01",), ("2019-05-31",),
                                 (None,)], "d string").withColumn("d", F.to_date("d"))
