@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.llm.common import components, slices, spread, text_or_empty
@@ -24,6 +24,9 @@ SEGMENT = 1 << 14
 #: Shingles in one block of the prefix-tree join (8 bytes each).
 BLOCK = 1 << 20
 SALTS = 64
+#: Rounds of neighbour pairs before what is left is compared in full, and how far the shingles that
+#: a pair of neighbours shares may be undercounted, since only runs where they are neighbours count.
+ROUNDS, SLACK = 6, 6
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -366,9 +369,9 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     own. An empty table gives an empty result; other columns are ignored.
 
     Equal sets are one node. Two nodes that link share a least number of prefix shingles, which
-    their sizes tell. Nodes are first compared with the smallest node of a shingle, and components
-    are formed; then every pair of nodes that share enough prefix shingles but aren't in one
-    component is compared, so no link between components is lost. Shingles and sets are known by
+    their sizes tell. Nodes are first compared with the smallest node of a shingle and then, in
+    rounds, with a neighbour; then every pair of nodes that share enough prefix shingles but still
+    aren't in one component is compared, so no link between components is lost. Shingles and sets are known by
     64-bit hashes.
     """
     docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -403,26 +406,52 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     stars = stage(stars.groupBy("a", "m", "b", "n").agg(F.sum("weight").alias("shared"))
                   .filter(enough).select("a", "b", "n"), "stars")
     links = _verified(docs, narrow, stars, words, percent)
+    tested = stars.select("a", "b")
     parts = stage(components(links, "a", "b"), "parts")
-
-    # What is left: shingles whose sets are in several components.
-    rows = runs.select("run", "member", "n").union(
+    rows = stage(runs.select("run", "member", "n").union(
         groups.join(runs.select(F.col("run").alias("member"), F.col("member").alias("sig"), "n"),
-                    "member").select("run", "sig", "n").distinct())
-    named = stage(rows.join(parts, F.col("member") == F.col("node"), "left").select(
-        "run", F.col("member").alias("sig"), "n",
-        F.coalesce("component", "member").alias("component")), "named")
-    several = stage(named.groupBy("run").agg(F.min("component").alias("lo"),
-                                             F.max("component").alias("hi"))
-                    .filter("lo <> hi").select("run").join(weights, "run"), "several")
-    open_rows = stage(named.join(several, "run"), "open")
-    other = open_rows.select("run", F.col("sig").alias("b"), F.col("n").alias("m"),
-                             F.col("component").alias("other"))
-    rest = stage(open_rows.join(other, "run")
+                    "member").select("run", "sig", "n").distinct()), "rows")
+
+    def open_rows(parts: DataFrame) -> DataFrame:
+        """Rows of the runs whose sets are in several components, with their components."""
+        named = stage(rows.join(parts, F.col("member") == F.col("node"), "left").select(
+            "run", F.col("member").alias("sig"), "n",
+            F.coalesce("component", "member").alias("component")), "named")
+        several = stage(named.groupBy("run").agg(F.min("component").alias("lo"),
+                                                 F.max("component").alias("hi"))
+                        .filter("lo <> hi").select("run").join(weights, "run"), "several")
+        return stage(named.join(several, "run"), "open")
+
+    # Members of a run in a hashed order, another one each round: neighbours of two components are
+    # compared, one pair a member. Groups of near copies become one component in a few rounds.
+    for turn in range(ROUNDS):
+        left = open_rows(parts)
+        order = Window.partitionBy("run").orderBy(F.xxhash64(F.lit(turn), "sig"))
+        ahead = F.lead(F.struct("sig", "n", "component")).over(order)
+        pairs = left.withColumn("z", ahead).filter("component <> z.component").selectExpr(
+            "least(sig, z.sig) AS a", "greatest(sig, z.sig) AS b", "weight",
+            "if(sig < z.sig, z.n, n) AS n", "if(sig < z.sig, n, z.n) AS m")
+        pairs = stage(pairs.groupBy("a", "m", "b", "n").agg((F.sum("weight") * SLACK).alias("shared"))
+                      .filter(enough).select("a", "b", "n").join(tested, ["a", "b"], "left_anti"),
+                      "neighbours")
+        if pairs.isEmpty():
+            break
+        found = _verified(docs, narrow, pairs, words, percent)
+        tested = tested.union(pairs.select("a", "b"))
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        parts = stage(components(links, "a", "b"), "parts")
+
+    # What is left is compared in full: pairs of two components that share enough shingles.
+    left = open_rows(parts)
+    other = left.select("run", F.col("sig").alias("b"), F.col("n").alias("m"),
+                        F.col("component").alias("other"))
+    rest = stage(left.join(other, "run")
                  .filter(f"component <> other AND sig < b AND {near}")
                  .groupBy("sig", "n", "b", "m").agg(F.sum("weight").alias("shared"))
                  .filter(enough).select(F.col("sig").alias("a"), "b", F.col("m").alias("n"))
-                 .join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+                 .join(tested, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.union(_verified(docs, narrow, rest, words, percent))
         parts = stage(components(links, "a", "b"), "parts")
