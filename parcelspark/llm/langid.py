@@ -200,9 +200,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
     that the hash decides, reaches the driver. Labels are texts, dealt by the hash like all else.
     """
     key = F.xxhash64(F.lit(11), "doc_id", "text")
+    labelled = docs.filter(F.col("lang").isNotNull() & ~held_out())
+    # Tasks hand on about twice the sample together, not each a whole one, however many there are.
+    share = min(1.0, 2.0 * sample / max(labelled.count(), 1))
+    drawn = F.pmod(F.xxhash64(F.lit(12), "doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
     bytes_of = F.col("text").cast("binary")
     room = F.greatest(F.lit(1), F.length(bytes_of) - WINDOW + 1)
-    rows = (docs.filter(F.col("lang").isNotNull() & ~held_out() & has_letter("text"))
+    rows = (labelled.filter(drawn & has_letter("text"))
             .select("lang", F.substring(bytes_of, (F.pmod(key, room) + 1).cast("int"),
                                         F.lit(WINDOW)).alias("window"), key.alias("key"))
             .orderBy("key", "lang", "window").limit(sample).collect())
