@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from parcelspark.llm.common import slices, spread, text_or_empty
+from parcelspark.llm.exact import bloom_filter, mark_possible
 from parcelspark.session import stage
 
 #: Words that a stretch of lines needs to count as a passage.
@@ -177,14 +178,20 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                        text_or_empty("text").alias("text")).withColumn(
         "d", F.xxhash64("doc_id", "text"))
     lines = stage(line_table(spread(docs), min_words).dropDuplicates(["d", "pos"]), "lines")
-    runs = stage(repeated_runs(lines), "runs").groupBy("d").agg(
-        F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    split = F.split("text", "\n", -1)
+    runs = stage(repeated_runs(lines).groupBy("d").agg(
+        F.collect_list(F.struct("lo", "hi")).alias("runs")), "runs")
+    # Only texts that lose lines are shuffled; a Bloom filter of bounded size lets the others pass.
+    bits, segments = bloom_filter(runs.select("d"), "d", runs.count())
+    marked = mark_possible(docs, "d", bits, segments)
+    n_lines = F.size(F.split("text", "\n", -1)).cast("long")
+    whole = marked.filter("NOT maybe").select(
+        "doc_id", n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), "text")
     kept = F.filter("lines", lambda x, i: ~F.exists(
         "runs", lambda r: (r["lo"] <= i) & (i < r["hi"])))
-    return (docs.join(runs, "d", "left").withColumn("lines", split)
-            .withColumn("kept", F.when(F.col("runs").isNull(), F.col("lines")).otherwise(kept))
-            .select("doc_id", F.size("lines").cast("long").alias("n_lines"),
-                    (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
-                    F.when(F.col("runs").isNull(), F.col("text"))
-                    .otherwise(F.array_join("kept", "\n")).alias("text")))
+    cut = (marked.filter("maybe").join(runs.hint("merge"), "d", "left")
+           .withColumn("lines", F.split("text", "\n", -1))
+           .withColumn("kept", F.when(F.col("runs").isNull(), F.col("lines")).otherwise(kept))
+           .select("doc_id", F.size("lines").cast("long").alias("n_lines"),
+                   (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
+                   F.array_join("kept", "\n").alias("text")))
+    return whole.union(cut)
