@@ -24,9 +24,8 @@ SEGMENT = 1 << 14
 #: Shingles in one block of the prefix-tree join (8 bytes each).
 BLOCK = 1 << 20
 SALTS = 64
-#: Rounds of neighbour pairs before what is left is compared in full, and how far the shingles that
-#: a pair of neighbours shares may be undercounted, since only runs where they are neighbours count.
-ROUNDS, SLACK = 6, 6
+#: Rounds of neighbour pairs before what is left is compared in full.
+ROUNDS = 4
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -423,7 +422,8 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         return stage(named.join(several, "run"), "open")
 
     # Members of a run in a hashed order, another one each round: neighbours of two components are
-    # compared, one pair a member. Groups of near copies become one component in a few rounds.
+    # compared, one pair a member. Neighbours within a group of near copies are neighbours in all
+    # runs that hold both, so groups become one component in a few rounds.
     for turn in range(ROUNDS):
         left = open_rows(parts)
         order = Window.partitionBy("run").orderBy(F.xxhash64(F.lit(turn), "sig"))
@@ -431,7 +431,7 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         pairs = left.withColumn("z", ahead).filter("component <> z.component").selectExpr(
             "least(sig, z.sig) AS a", "greatest(sig, z.sig) AS b", "weight",
             "if(sig < z.sig, z.n, n) AS n", "if(sig < z.sig, n, z.n) AS m")
-        pairs = stage(pairs.groupBy("a", "m", "b", "n").agg((F.sum("weight") * SLACK).alias("shared"))
+        pairs = stage(pairs.groupBy("a", "m", "b", "n").agg(F.sum("weight").alias("shared"))
                       .filter(enough).select("a", "b", "n").join(tested, ["a", "b"], "left_anti"),
                       "neighbours")
         if pairs.isEmpty():
