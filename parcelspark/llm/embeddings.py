@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -14,8 +15,11 @@ from parcelspark.llm.common import components, spread
 from parcelspark.session import stage
 
 THRESHOLD = 0.93
-#: Passes, sign hashes in a sort key, and neighbours that a vector is compared with on either side.
-PASSES, BITS, REACH = 20, 62, 96
+#: Passes of a round, sign hashes in a sort key, and neighbours that a vector is compared with at
+#: least and at most on either side.
+PASSES, BITS, REACH, MOST_REACH = 20, 62, 96, 1024
+#: Vectors of a round that are compared with all of their label.
+QUERIES = 512
 #: Vectors in a block of neighbours, and in a block of the exact count within a component.
 BLOCK, COUNT_BLOCK = 1024, 1024
 SEED = 41
@@ -43,8 +47,47 @@ def _units(column: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _keys(passes: int, bits: int, seed: int):
-    """Sort keys: in each pass the signs of ``bits`` random projections, one behind the other."""
+def _sums(groups: set[tuple[int, int]]):
+    """Sums of the unit vectors of the given (label, length) in each batch."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frame = batch.to_pandas()
+            for (label, size), part in frame.groupby(["label", frame["embedding"].map(len)]):
+                if (label, size) in groups:
+                    yield pa.RecordBatch.from_pydict({
+                        "label": pa.array([label], pa.int64()), "size": pa.array([size], pa.int32()),
+                        "n": pa.array([len(part)], pa.int64()),
+                        "sum": pa.array([_units(part["embedding"]).sum(axis=0)],
+                                        pa.list_(pa.float64()))})
+
+    return emit
+
+
+def _centres(units: DataFrame, sizes: DataFrame, reach: int) -> dict[tuple[int, int], np.ndarray]:
+    """Mean unit vector by (label, length), of those with more than 1/1000 of the vectors.
+
+    They are fewer than a thousand by definition; the others are projected as they are.
+    """
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    large = {(r["label"], r["size"]) for r in
+             sizes.filter(F.col("n") > max(reach, total // 1000)).collect()}
+    if not large:
+        return {}
+    sums = (units.select("label", "embedding")
+            .mapInArrow(_sums(large), "label long, size int, n long, sum array<double>")
+            .select("label", "size", "n", F.posexplode("sum").alias("at", "x"))
+            .groupBy("label", "size", "at").agg((F.sum("x") / F.sum("n")).alias("x"))
+            .groupBy("label", "size").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("c")))
+    return {(r["label"], r["size"]): np.array([c["x"] for c in r["c"]]) for r in sums.collect()}
+
+
+def _keys(passes: int, bits: int, seed: int, centres: dict[tuple[int, int], np.ndarray]):
+    """Sort keys: in each pass the signs of ``bits`` random projections, one behind the other.
+
+    Vectors are projected from the centre of their label, so that a label whose vectors lie to one
+    side doesn't share most of its signs.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -55,7 +98,10 @@ def _keys(passes: int, bits: int, seed: int):
                 if size not in planes:
                     rng = np.random.default_rng([seed, size])
                     planes[size] = rng.standard_normal((passes, bits, size))
-                unit = _units(part["embedding"])
+                unit, labels = _units(part["embedding"]), part["label"].to_numpy()
+                for label in np.unique(labels):
+                    if (label, size) in centres:
+                        unit[labels == label] -= centres[label, size]
                 for p in range(passes):
                     key = ((unit @ planes[size][p].T) > 0) @ weights
                     yield pa.RecordBatch.from_pydict({
@@ -93,19 +139,16 @@ def _neighbour_links(threshold: float, reach: int):
         row, group = frame["row"].to_numpy(), frame["part"].to_numpy()
         parts = []
         sizes = frame["embedding"].map(len).to_numpy()
-        unit = _units(frame["embedding"]) if len(set(sizes)) == 1 else None
-        for lo in range(0, len(row), reach):
-            hi = min(lo + reach, len(row))
-            end = min(hi + reach, len(row))
-            if unit is not None:
-                near = unit[lo:hi] @ unit[lo:end].T
-            else:  # vectors of several lengths meet at a border; only equal lengths compare
-                own = [_units(frame["embedding"].iloc[k:k + 1])[0] for k in range(lo, end)]
-                near = np.array([[float(np.dot(x, y)) if len(x) == len(y) else -1.0
-                                  for y in own] for x in own[:hi - lo]])
-            i, j = np.nonzero(near >= threshold)
-            ok = (j > i) & (j - i <= reach) & (group[lo + i] == group[lo + j])
-            parts.append(np.stack([lo + i[ok], lo + j[ok]]))
+        # Vectors of several lengths meet at a border; those that compare stay side by side.
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            unit = _units(frame["embedding"].iloc[at])
+            for lo in range(0, len(at), reach):
+                hi = min(lo + reach, len(at))
+                end = min(hi + reach, len(at))
+                i, j = np.nonzero(unit[lo:hi] @ unit[lo:end].T >= threshold)
+                ok = (j > i) & (j - i <= reach) & (group[at[lo + i]] == group[at[lo + j]])
+                parts.append(np.stack([at[lo + i[ok]], at[lo + j[ok]]]))
         i, j = np.concatenate(parts, axis=1)
         keep = _forest(i, j, len(row))
         return pd.DataFrame({"a": row[i[keep]], "b": row[j[keep]]})
@@ -113,6 +156,34 @@ def _neighbour_links(threshold: float, reach: int):
     return compare
 
 
+def _query_links(threshold: float, queries: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]):
+    """Verified links of a batch with the query vectors of their label and length; a forest."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frame = batch.to_pandas()
+            for key, part in frame.groupby(["label", frame["embedding"].map(len)]):
+                if key not in queries:
+                    continue
+                row, (asked, unit) = part["row"].to_numpy(), queries[key]
+                i, j = np.nonzero(_units(part["embedding"]) @ unit.T >= threshold)
+                i, j = i[row[i] != asked[j]], j[row[i] != asked[j]]
+                keep = _forest(i, len(row) + j, len(row) + len(asked))
+                yield pa.RecordBatch.from_pydict({"a": pa.array(row[i[keep]], pa.int64()),
+                                                  "b": pa.array(asked[j[keep]], pa.int64())})
+
+    return compare
+
+
+def _asked(units: DataFrame, count: int, seed: int
+           ) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """``count`` vectors drawn by a hash of their row: rows and unit vectors by (label, length)."""
+    drawn = (units.orderBy(F.xxhash64("row", F.lit(seed)), "row").limit(count)
+             .select("row", "label", "embedding").toPandas())
+    return {key: (part["row"].to_numpy(), _units(part["embedding"])) for key, part in
+            drawn.groupby(["label", drawn["embedding"].map(len)])}
+
+
 def _ranked(keys: DataFrame) -> DataFrame:
     """``keys`` in global order with their rank: sorted by ranges, then offset by range counts."""
     order = ["pass", "label", "size", "key", "row"]
@@ -131,17 +202,64 @@ def _ranked(keys: DataFrame) -> DataFrame:
             .withColumn("rank", F.col("before") + inside).drop("range", "before", "at"))
 
 
+def _linked(units: DataFrame, threshold: float, passes: int, reach: int, bits: int,
+            seed: int) -> DataFrame:
+    """``(row, component)`` of the vectors with links: rounds of passes until one joins nothing."""
+    sizes = stage(units.groupBy("label", F.size("embedding").alias("size"))
+                  .agg(F.count(F.lit(1)).alias("n")), "sizes")
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    reach = max(reach, min(isqrt(most), MOST_REACH))
+    size = max(BLOCK, 4 * reach)
+    # Windows as long as every label hold all of its pairs: one pass is exact then.
+    exact = most <= reach + 1
+    centres = {} if exact else _centres(units, sizes, reach)
+    # The last rows of a block are compared once more with the first of the next one.
+    block = F.floor(F.col("rank") / size)
+    again = F.when(F.col("rank") % size < reach, F.array(block, block - 1)).otherwise(
+        F.array(block))
+    group = F.xxhash64("pass", "label", "size").alias("part")
+    parts, turn = None, 0
+    while True:
+        keys = units.select("row", "label", "embedding").mapInArrow(
+            _keys(1 if exact else passes, bits, seed + turn, centres),
+            "pass int, label long, size int, key long, row long")
+        placed = (_ranked(keys).select("row", "rank", group, F.explode(again).alias("block"))
+                  .filter("block >= 0"))
+        found = (placed.join(units.select("row", "embedding"), "row").groupBy("block")
+                 .applyInPandas(_neighbour_links(threshold, reach), "a long, b long"))
+        if not exact:
+            found = found.union(units.select("row", "label", "embedding").mapInArrow(
+                _query_links(threshold, _asked(units, QUERIES, seed + turn)), "a long, b long"))
+        links = stage(found.distinct(), "links")
+        if parts is not None:
+            here, there = (parts.toDF(end, f"c{end}") for end in ("a", "b"))
+            links = stage(links.join(here, "a", "left").join(there, "b", "left")
+                          .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+                          .select("a", "b"), "joins")
+            if links.isEmpty():
+                return parts
+            links = links.union(parts.toDF("a", "b"))
+        parts = stage(components(links, "a", "b").toDF("row", "component"), "parts")
+        if exact:
+            return parts
+        turn += 1
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES,
                  reach: int = REACH, bits: int = BITS, seed: int = SEED) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``vectors`` (vec_id, embedding,
     label).
 
     Only vectors with equal, non-null labels and equal lengths compare, by cosine in double
-    precision. Each pass sorts the vectors by the signs of random projections and compares each
-    with the next ``reach`` ones; links found are verified, and joined across the passes. Then
+    precision. Each pass sorts the vectors by the signs of random projections from their label's
+    centre and compares each with the next ``reach`` ones, or as many as the root of the largest
+    label's size up to 1024; links found are verified, and joined across the passes. Rounds of
+    ``passes`` passes, each with projections of its own and with 512 vectors that are compared with
+    all of their label, go on until a round joins no two components. Then
     every pair inside a component is compared in blocks, so n_links counts all links of its
-    vectors, however many neighbours a group of copies has. Pairs that no chain of neighbours ever
-    brought together are missed; their share falls with each pass.
+    vectors, however many neighbours a group of copies has. The result is exact when no label has
+    more vectors than a window. In larger ones a link between components can be missed only if
+    every pass of all rounds keeps its two vectors apart.
 
     Vectors that can't link stand alone, with no links. Rows with the same vec_id are vectors of
     their own, and a null vec_id counts as larger than any other. An empty table gives an empty
@@ -151,19 +269,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int =
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
         "embedding")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     units = stage(sound_vectors(rows), "units")
-    keys = units.select("row", "label", "embedding").mapInArrow(
-        _keys(passes, bits, seed), "pass int, label long, size int, key long, row long")
-    group = F.xxhash64("pass", "label", "size").alias("part")
-    # The last rows of a block are compared once more with the first of the next one.
-    block = F.floor(F.col("rank") / BLOCK)
-    again = F.when(F.col("rank") % BLOCK < reach, F.array(block, block - 1)).otherwise(
-        F.array(block))
-    placed = (_ranked(keys).select("row", "rank", group, F.explode(again).alias("block"))
-              .filter("block >= 0"))
-    links = stage(placed.join(units.select("row", "embedding"), "row")
-                  .groupBy("block").applyInPandas(_neighbour_links(threshold, reach),
-                                                  "a long, b long").distinct(), "links")
-    parts = stage(components(links, "a", "b").toDF("row", "component"), "parts")
+    parts = _linked(units, threshold, passes, reach, bits, seed)
     counted = _count_links(units.select("row", "embedding").join(parts, "row"), threshold)
     known = (rows.select("row", "vec_id").join(parts, "row", "left").join(counted, "row", "left")
              .withColumn("component", F.coalesce("component", "row")))

@@ -101,6 +101,22 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_of_a_large_label(spark):
+    """Pairs that one round's short windows don't bring together, in a label to one side."""
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(32) * 0.8
+    one = rng.standard_normal((1000, 32)) + centre
+    two = one[:500] + rng.standard_normal((500, 32)) * 0.37
+    both = np.concatenate([one, two]).astype("f4")
+    rows = [(i, e.tolist(), 1) for i, e in enumerate(both)]
+    links, part = plain_links(rows)
+    assert sum(map(len, links.values())) > 600
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           near_vectors(df, passes=4, reach=4).collect()}
+    assert got == {i: (len(links[i]), part[i]) for i in range(len(rows))}
+
+
 # Conversations
 
 def test_conversations(spark):
