@@ -39,10 +39,11 @@ def _ordered(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(d, doc_id, pos, id, m)`` for each line of ``docs`` (d, doc_id, text).
+    """``(d, doc_id, pos, id, m, back)`` for each line of ``docs`` (d, doc_id, text).
 
     A line's id is a hash of it without outer white space. ``m`` is the smallest number of lines
-    from this one on that hold ``min_words`` words, null when the rest of the text holds fewer.
+    from this one on that hold ``min_words`` words, null when the rest of the text holds fewer;
+    ``back`` is that of lines up to this one, null as well when they are the first one's ``m`` lines.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,18 +56,21 @@ def line_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     upto = np.cumsum([0, *[len(x.split()) for x in lines]])
                     at = np.arange(len(lines))
                     end = np.searchsorted(upto, upto[:-1] + min_words)
+                    begin = np.searchsorted(upto, upto[1:] - min_words, "right") - 1
                     parts.append((np.full(len(lines), d), [doc] * len(lines), at,
-                                  ids.view(np.int64), end - at, end > len(lines)))
-                d, doc, at, ids, m, none = zip(*parts)
+                                  ids.view(np.int64), end - at, end > len(lines),
+                                  at + 1 - begin, (begin < 0) | (end[begin] == at + 1)))
+                d, doc, at, ids, m, none, back, few = zip(*parts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(d)),
                      pa.array([x for own in doc for x in own], pa.int64()),
                      pa.array(np.concatenate(at).astype(np.int64)), pa.array(np.concatenate(ids)),
-                     pa.array(np.concatenate(m).astype(np.int64), mask=np.concatenate(none))],
-                    ["d", "doc_id", "pos", "id", "m"])
+                     pa.array(np.concatenate(m).astype(np.int64), mask=np.concatenate(none)),
+                     pa.array(np.concatenate(back).astype(np.int64), mask=np.concatenate(few))],
+                    ["d", "doc_id", "pos", "id", "m", "back"])
 
     return docs.select("d", "doc_id", "text").mapInArrow(
-        cut, "d long, doc_id long, pos long, id long, m long")
+        cut, "d long, doc_id long, pos long, id long, m long, back long")
 
 
 def suffix_ranks(places: DataFrame) -> list[DataFrame]:
@@ -105,7 +109,7 @@ def later_passages(lines: DataFrame, tables: list[DataFrame]) -> DataFrame:
     for k, table in enumerate(tables):
         size = 1 << k
         last = table.select("d", F.col("pos").alias("end"), F.col("rank").alias("r2"))
-        own = (lines.filter(f"m >= {size} AND m < {2 * size}").drop("id")
+        own = (lines.filter(f"m >= {size} AND m < {2 * size}").select("d", "doc_id", "pos", "m")
                .join(table.withColumnRenamed("rank", "r1"), ["d", "pos"])
                .withColumn("end", F.col("pos") + F.col("m") - size).join(last, ["d", "end"])
                .select("d", "doc_id", "pos", "m", "r1", "r2"))
@@ -139,11 +143,25 @@ def _common_lines(pairs: DataFrame, tables: list[DataFrame]) -> DataFrame:
     return pairs
 
 
-def repeated_runs(lines: DataFrame) -> DataFrame:
-    """``(d, lo, hi)``: the lines ``lo <= pos < hi`` of each document that repeat earlier ones."""
+def stretches(lines: DataFrame) -> DataFrame:
+    """``(d, doc_id, pos, m)``: the shortest passages that begin or end at each line."""
+    ends = lines.filter("back IS NOT NULL").select(
+        "d", "doc_id", (F.col("pos") + 1 - F.col("back")).alias("pos"), F.col("back").alias("m"))
+    return lines.filter("m IS NOT NULL").select("d", "doc_id", "pos", "m").union(ends)
+
+
+def repeated_runs(lines: DataFrame, any_copy: bool = False) -> DataFrame:
+    """``(d, lo, hi)``: the lines ``lo <= pos < hi`` of each document that repeat earlier ones.
+
+    With ``any_copy`` these are all maximal runs that occur at any earlier place. Where such a run
+    reaches past the passage it begins with, the shortest passage that ends at each further line
+    lies in the run and occurs earlier as well, so the repeated ones of ``stretches`` cover it.
+    """
     tables = suffix_ranks(lines)
     if not tables:
         return lines.select("d", F.col("pos").alias("lo"), F.col("pos").alias("hi")).limit(0)
+    if any_copy:
+        return _joined(later_passages(stretches(lines), tables).select("d", "pos", "m"))
     later = later_passages(lines, tables)
     # Passages of one run follow each other, and so do their first places; the last one is
     # followed to the end of the common run.
@@ -152,8 +170,13 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
                for c, step in (("pos", 1), ("q_d", 0), ("q_pos", 1))]
     goes_on = F.coalesce(follows[0] & follows[1] & follows[2], F.lit(False))
     ends = later.withColumn("on", goes_on).filter("NOT on").drop("on")
-    spans = later.select("d", "pos", "m").union(
-        _common_lines(ends, tables).select("d", "pos", "m")).select(
+    return _joined(later.select("d", "pos", "m").union(
+        _common_lines(ends, tables).select("d", "pos", "m")))
+
+
+def _joined(passages: DataFrame) -> DataFrame:
+    """``(d, lo, hi)``: the stretches of lines that ``passages`` (d, pos, m) cover together."""
+    spans = passages.select(
         "d", F.col("pos").alias("lo"), (F.col("pos") + F.col("m")).alias("hi"))
     before = (Window.partitionBy("d").orderBy("lo", "hi")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -163,13 +186,15 @@ def repeated_runs(lines: DataFrame) -> DataFrame:
             .groupBy("d", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run"))
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS,
+                        any_copy: bool = False) -> DataFrame:
     """``(doc_id, n_lines, n_dropped, text)`` for each row of ``docs`` (doc_id, text).
 
     From each line on, the shortest stretch that holds ``min_words`` words is a passage; lines are
     equal when they are without outer white space. When the passage occurs before, in the same text
     or in one with a smaller doc_id (null last), its lines go, and so do the lines behind it as far
-    as they agree with those behind its first occurrence. The first copy of a run always stays.
+    as they agree with those behind its first occurrence, or with ``any_copy`` behind the earlier
+    occurrence that agrees longest. The first copy of a run always stays.
     Null texts count as empty; texts without a repeated passage come back as they are. Rows with
     equal doc_id and text are one document and get the same result. An empty table gives an empty
     result; other columns are ignored.
@@ -178,7 +203,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                        text_or_empty("text").alias("text")).withColumn(
         "d", F.xxhash64("doc_id", "text"))
     lines = stage(line_table(spread(docs), min_words).dropDuplicates(["d", "pos"]), "lines")
-    runs = stage(repeated_runs(lines).groupBy("d").agg(
+    runs = stage(repeated_runs(lines, any_copy).groupBy("d").agg(
         F.collect_list(F.struct("lo", "hi")).alias("runs")), "runs")
     # Only texts that lose lines are shuffled; a Bloom filter of bounded size lets the others pass.
     bits, segments = bloom_filter(runs.select("d"), "d", runs.count())

@@ -145,4 +145,4 @@ def html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op8_line_dedup")
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf, "documents"))
+    return drop_repeated_lines(table(spark, sf, "documents"), any_copy=True)

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from rows import ROWS
 from parcelspark.llm.common import components
 from parcelspark.llm.exact import bloom_filter, drop_exact_duplicates, exact_duplicates, mark_possible
@@ -290,6 +291,50 @@ def test_line_dedup(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
 
 
+def plain_longest_runs(rows, least):
+    """Every stretch of enough words that occurs at an earlier place goes."""
+    docs = sorted({(d is None, d or 0, t or "") for d, t in rows})
+    seen, out = set(), defaultdict(list)
+    for none, d, text in docs:
+        raw = text.split("\n")
+        own, gone = [x.strip(" \t\n\r\x0b\x0c") for x in raw], set()
+        for p in range(len(own)):
+            for e in range(p, len(own)):
+                run = tuple(own[p:e + 1])
+                if sum(len(x.split()) for x in run) >= least:
+                    if run in seen:
+                        gone.update(range(p, e + 1))
+                    seen.add(run)
+        out[None if none else d].append((len(raw), len(gone), "\n".join(
+            x for n, x in enumerate(raw) if n not in gone)))
+    return out
+
+
+def test_line_dedup_of_any_earlier_copy(spark):
+    """The first copy of a passage is not the one that agrees longest with a later one."""
+    rng = random.Random(6)
+    rows = [(k, "\n".join(rng.choice(["a b", "c", "d e f", "", "x  y", "g"])
+                          for _ in range(rng.randint(0, 14)))) for k in range(80)]
+    p, q = "p " * 100, "q " * 3
+    rows += [(100, p), (101, f"{p}\n{q}"), (102, f"{p}\n{q}\nend"), (None, f"z\n{p}\n{q}"),
+             (103, None), (104, "\n".join(["one two three four"] * 9))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want, got = plain_longest_runs(rows, 4), defaultdict(list)
+    for r in drop_repeated_lines(df, 4, any_copy=True).collect():
+        got[r.doc_id].append((r.n_lines, r.n_dropped, r.text))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert got[102] == [(3, 2, "end")] and got[None] == [(3, 2, "z")]
+
+
+def test_line_dedup_query_takes_any_copy(spark, tmp_path):
+    p, q = "p " * 100, "q " * 30
+    rows = [(1, p), (2, f"{p}\n{q}"), (3, f"{p}\n{q}\nend")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in entry.queries()["op8_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: p, 2: q, 3: "end"}
+
+
 def test_line_dedup_awkward_rows(docs, no_docs):
     got = drop_repeated_lines(docs).collect()
     assert len(got) == len(ROWS)
