@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelspark.llm.binary import binary_sequences
 from parcelspark.llm.chat import collapse_conversations
+from parcelspark.llm.codes import code_digests
 from parcelspark.llm.common import table
 from parcelspark.llm.embeddings import near_vectors
 from parcelspark.llm.exact import exact_duplicates
@@ -17,6 +19,7 @@ from parcelspark.llm.lines import drop_repeated_lines
 from parcelspark.llm.ngram import ngram_components
 from parcelspark.llm.packing import pack
 from parcelspark.llm.pieces import segmentation_digests
+from parcelspark.llm.spelling import spelling_variants
 from parcelspark.llm.tokens import token_budget
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +149,81 @@ def html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_line_dedup")
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf, "documents"), any_copy=True)
+
+
+@query("op11_spelling_variants", """
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n, length(run) AS size FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM runs),
+-- crc32, bit by bit.
+sums AS MATERIALIZED (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+    range(1, length(hx), 2), lambda i: list_transform(range(8), lambda k:
+      (CAST('0x' || hx[i:i + 1] AS BIGINT) >> k) & 1)))),
+    lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) AS h FROM hexed),
+words AS MATERIALIZED (
+  SELECT CAST(sum(n) AS BIGINT) AS n, word FROM (SELECT n, CASE WHEN h % 199 = 0 THEN
+    run[:h % size] || run[h % size + 2:] ELSE run END AS word FROM sums)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS MATERIALIZED (SELECT word, n, i, word[:i - 1] AS l, word[i + 1:] AS r FROM
+  (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n FROM cuts a JOIN cuts b USING (i, l, r) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.l || a.r = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.l || a.r = b.word),
+best AS (SELECT word, count(*) AS n_near, first(struct_pack(f := near, n := n) ORDER BY n DESC, near)
+  AS top FROM pairs GROUP BY word),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN top.n >= 5 * w.n THEN top.f END AS form, CASE WHEN top.n >= 5 * w.n THEN top.n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.next = f.word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM chain
+  WHERE next IS NULL) USING (word)
+""")
+def spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(table(spark, sf, "documents"))
+
+
+@query("op12_binary_packing")
+def binary_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return binary_sequences(table(spark, sf, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.json"), 0, payload="crc32")
+
+
+_GAP = ("list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, c.e) + list_dot_product(c.e, c.e)")
+
+
+def _round(i: int) -> str:
+    """One assignment and replacement: codebook ``c{i}`` from ``c{i - 1}``."""
+    return f"""a{i} AS MATERIALIZED (SELECT x.row, x.p, min_by(c.k, ({_GAP}) * 256 + c.k) AS k
+  FROM x JOIN c{i - 1} c USING (p) GROUP BY x.row, x.p),
+m{i} AS (SELECT p, k, pos, floor(sum(y) / count(*)) AS e FROM (SELECT x.p, a.k,
+  unnest(range(len(x.v))) AS pos, unnest(x.v) AS y FROM x JOIN a{i} a USING (row, p)) GROUP BY ALL),
+c{i} AS MATERIALIZED (SELECT p, k, coalesce(n.e, o.e) AS e FROM c{i - 1} o
+  LEFT JOIN (SELECT p, k, list(e ORDER BY pos) AS e FROM m{i} GROUP BY ALL) n USING (p, k))"""
+
+
+@query("op13_vector_codes", f"""
+WITH v AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x))
+    AS v, row_number() OVER (ORDER BY vec_id, v) AS row FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(embedding) > 0),
+x AS MATERIALIZED (SELECT row, vec_id, label, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS v
+  FROM v, (SELECT unnest(range(4)) AS p)),
+c0 AS MATERIALIZED (SELECT p, row - 1 AS k, v AS e FROM x WHERE row <= 256),
+{", ".join(_round(i) for i in range(1, 5))},
+f AS MATERIALIZED (SELECT x.row, x.p, min_by(c.k, ({_GAP}) * 256 + c.k) AS k, min({_GAP}) AS gap
+  FROM x JOIN c4 c USING (p) GROUP BY x.row, x.p),
+o AS (SELECT row, string_agg(lower(printf('%02x', k)), '' ORDER BY p) AS code,
+  CAST(sum(gap) AS BIGINT) AS error FROM f GROUP BY row),
+s AS (SELECT sha256(string_agg(list_aggregate(list_transform(e, lambda y: CAST(y AS BIGINT)),
+  'string_agg', ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM c4)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  codebooks_sha256 FROM v JOIN o USING (row), s
+""")
+def vector_codebooks(spark: SparkSession, sf: str) -> DataFrame:
+    return code_digests(table(spark, sf, "embeddings"))
