@@ -19,13 +19,21 @@ from parcelspark.session import stage
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Split points of a node, and entries that a leaf holds.
-SPLITS, LEAF = 12, 10
+SPLITS, LEAF = 24, 16
 #: Vectors that are searched together.
-BLOCK = 4096
+BLOCK = 8192
 
 
 def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of every row of ``a`` to every row of ``b``, in integers."""
+    """Squared distances of every row of ``a`` to every row of ``b``, in integers.
+
+    As a product of floats where every figure on the way is an integer below 2 ** 53, and so exact.
+    """
+    if a.size and b.size:
+        most = max(abs(int(a.min())), abs(int(a.max())), abs(int(b.min())), abs(int(b.max())))
+        if 4 * most * most * a.shape[1] < 1 << 53:
+            x, y = a.astype(np.float64), b.astype(np.float64)
+            return ((x * x).sum(1)[:, None] - 2 * (x @ y.T) + (y * y).sum(1)).astype(np.int64)
     out = np.zeros((len(a), len(b)), np.int64)
     for x, y in zip(a.T, b.T):
         gap = x[:, None] - y
