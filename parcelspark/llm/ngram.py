@@ -17,10 +17,14 @@ from parcelspark.session import stage
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Counters of the sketch that orders shingles from rare to frequent; the order decides how many
-#: candidates there are, never which links are found.
-SKETCH = 1 << 21
+#: Counters of the sketch that tells heavy shingles, and how many times the mean count is heavy.
+SKETCH, HEAVY = 1 << 21, 16
 SEGMENT = 1 << 14
+#: Share of the shingles, by hash, whose frequency is counted exactly; a prefix is a quarter of a set
+#: at 75 percent. The order decides how many candidates there are, never which links are found.
+COUNTED = 0.34
+#: Identities of sets that a worker remembers, so that copies near each other are read once.
+REMEMBERED = 1 << 18
 #: Shingles in one block of the prefix-tree join (8 bytes each).
 BLOCK = 1 << 20
 SALTS = 64
@@ -164,43 +168,79 @@ def _weights(described: DataFrame) -> np.ndarray:
     for k, part in merged.collect():
         counts[k * SEGMENT:(k + 1) * SEGMENT] = np.frombuffer(bytes(part), np.uint32)
     ratio = counts // max(1, int(counts.mean()))
-    return np.where(ratio < 3, 0, np.log2(np.maximum(ratio, 1)).astype(int)).clip(0, 31).astype(
+    return np.where(ratio < HEAVY, 0, np.log2(np.maximum(ratio, 1)).astype(int)).clip(0, 31).astype(
         np.uint8)
 
 
-def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``(token, salt, sig, n)``: the shingles of each set's prefix in the global order.
+def _candidate_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int) -> DataFrame:
+    """``(token, salt, sig, n, slack)``: shingles that may stand in the prefix of a set.
 
-    Two sets that link share a shingle among the first ``n - ceil(n * percent / 100) + 1`` of both.
-    Frequent shingles come last in the order; those that still occur in a prefix are salted.
+    The global order has the counted shingles first, from rare to frequent, then the others, then heavy
+    ones by class. All counted shingles of a set are rows, and of the others those that the prefix
+    reaches behind them; ``slack`` is how many rows the set has beyond the length of its prefix.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    limit = np.uint64(int(COUNTED * (1 << 20)))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, known = shared.value, set()
         for batch in batches:
             for piece in slices([batch], "text", 2 << 20):
-                tokens, salts, sigs, sizes = [], [], [], []
+                tokens, salts, sigs, sizes, slacks = [], [], [], [], []
                 for own in shingle_sets(piece.column("text"), words):
                     n, sig = len(own), _signature(own)
                     if not n or sig in known:
                         continue
+                    if len(known) >= REMEMBERED:
+                        known.clear()
                     known.add(sig)
                     cls = weight[own & np.uint64(SKETCH - 1)]
-                    key = (own >> np.uint64(5)) | (cls.astype(np.uint64) << np.uint64(59))
-                    take = np.argsort(key, kind="stable")[:n + (-n * percent // 100) + 1]
+                    counted = (cls == 0) & (own >> np.uint64(44) < limit)
+                    length = n + (-n * percent // 100) + 1
+                    take = np.flatnonzero(counted)
+                    if len(take) < length:
+                        rest = np.flatnonzero(~counted)
+                        key = (own[rest] >> np.uint64(5)) | (cls[rest].astype(np.uint64)
+                                                             << np.uint64(59))
+                        rest = rest[np.argsort(key, kind="stable")[:length - len(take)]]
+                        take = np.concatenate([take, rest])
                     tokens.append(own[take])
                     salts.append(np.where(cls[take] > 0, 1 + sig % SALTS, 0))
                     sigs.append(np.full(len(take), sig))
                     sizes.append(np.full(len(take), n))
+                    slacks.append(np.full(len(take), len(take) - length))
                 if tokens:
                     yield pa.RecordBatch.from_pydict({
                         "token": np.concatenate(tokens).view(np.int64),
                         "salt": np.concatenate(salts).astype(np.int32),
                         "sig": np.concatenate(sigs).astype(np.int64),
-                        "n": np.concatenate(sizes).astype(np.int64)})
+                        "n": np.concatenate(sizes).astype(np.int32),
+                        "slack": np.concatenate(slacks).astype(np.int32)})
+
+    return docs.mapInArrow(emit, "token long, salt int, sig long, n int, slack int")
+
 
-    return docs.mapInArrow(emit, "token long, salt int, sig long, n long")
+def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int) -> DataFrame:
+    """``(token, salt, sig, n)``: the shingles of each set's prefix that other sets have there too.
+
+    Two sets that link share a shingle among the first ``n - ceil(n * percent / 100) + 1`` of both.
+    Shingles of one set only come first and find nothing: they go where they are counted, and a set
+    whose prefix is made of them has no rows left. Of the others the most frequent go until the rest
+    is the prefix. Heavy shingles that still stand in a prefix are salted.
+    """
+    rows = _candidate_rows(docs, weights, words, percent)
+    token = Window.partitionBy("token", "salt")
+    found = rows.withColumns({"df": F.count(F.lit(1)).over(token), "lo": F.min("sig").over(token),
+                              "hi": F.max("sig").over(token)})
+    # Copies of a set in other tasks gave the same rows; they lie together.
+    several = (found.filter("lo <> hi OR salt > 0").groupBy("token", "salt", "sig", "n", "slack")
+               .agg(F.max("df").alias("df")))
+    own = Window.partitionBy("sig")
+    ranked = several.withColumns({
+        "rank": F.row_number().over(own.orderBy("salt", "df", "token")),
+        "rows": F.count(F.lit(1)).over(own)})
+    return ranked.filter(F.col("rank") <= F.col("rows") - F.col("slack")).select(
+        "token", "salt", "sig", F.col("n").cast("long").alias("n"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
