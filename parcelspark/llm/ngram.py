@@ -221,12 +221,14 @@ def _candidate_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: i
 
 
 def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``(token, salt, sig, n)``: the shingles of each set's prefix that other sets have there too.
+    """``(token, salt, sig, n, lone)``: the shingles of each set's prefix that other sets have there too.
 
     Two sets that link share a shingle among the first ``n - ceil(n * percent / 100) + 1`` of both.
     Shingles of one set only come first and find nothing: they go where they are counted, and a set
     whose prefix is made of them has no rows left. Of the others the most frequent go until the rest
-    is the prefix. Heavy shingles that still stand in a prefix are salted.
+    is the prefix. Heavy shingles that still stand in a prefix are salted. ``lone`` is the share, in
+    thousandths, of a set's counted shingles that no other set has: the text that copies were made from
+    has the least.
     """
     rows = _candidate_rows(docs, weights, words, percent)
     token = Window.partitionBy("token", "salt")
@@ -239,12 +241,14 @@ def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int)
     ranked = several.withColumns({
         "rank": F.row_number().over(own.orderBy("salt", "df", "token")),
         "rows": F.count(F.lit(1)).over(own)})
+    emitted = F.expr(f"n - ceil(n * {percent} / 100.0D) + 1 + slack")
     return ranked.filter(F.col("rank") <= F.col("rows") - F.col("slack")).select(
-        "token", "salt", "sig", F.col("n").cast("long").alias("n"))
+        "token", "salt", "sig", F.col("n").cast("long").alias("n"),
+        (1000 * (emitted - F.col("rows")) / emitted).cast("int").alias("lone"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with equal token and salt, from rows sorted by token, salt and member.
+    """Runs of rows with equal token and salt, from rows sorted by token and salt.
 
     A run is known by a hash of its members, since the shingles of a passage or a group of copies
     have the same ones; each task gives a run once, and at its end how many tokens had it. The
@@ -306,10 +310,14 @@ _RUN_SCHEMA = "run long, head long, m long, member long, n long, token long, wei
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
-    """Runs of ``rows`` (token, salt, member, n)."""
-    order = ["token", "salt", "member"]
+    """Runs of ``rows`` (token, salt, member, n, lone); the head is the member that is least alone.
+
+    In a group of near copies that is the text they come from, which is nearer to each of them than
+    they are to each other.
+    """
+    order = ["token", "salt", "lone", "member"]
     return (rows.repartition("token", "salt").sortWithinPartitions(*order)
-            .mapInArrow(_runs, _RUN_SCHEMA))
+            .select("token", "salt", "member", "n").mapInArrow(_runs, _RUN_SCHEMA))
 
 
 def _overlaps(query: np.ndarray, members: list[np.ndarray], percent: int) -> np.ndarray:
@@ -425,8 +433,8 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
                  .distinct(), "runs")
     # Salted tokens once more: the runs of one token are the members of a run of runs.
     upper = stage(_gathered(raw.filter("token IS NOT NULL").select(
-        "token", F.lit(0).alias("salt"), F.col("run").alias("member"), F.col("m").alias("n"))),
-        "upper")
+        "token", F.lit(0).alias("salt"), F.col("run").alias("member"), F.col("m").alias("n"),
+        F.lit(0).alias("lone"))), "upper")
     groups = stage(upper.filter("member IS NOT NULL").select("run", "member").distinct(), "groups")
     weights = stage(raw.union(upper).filter("weight IS NOT NULL").groupBy("run")
                     .agg(F.sum("weight").alias("weight")), "weights")
