@@ -7,9 +7,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +24,9 @@ LOW_CARDINALITY = ["property_type", "size_band"]
 HIGH_CARDINALITY = ["geo_h3_r8", "postcode_prefix"]
 NON_FEATURES = ["property_hash", "ingested_at", "source_file"]
 LABEL = "label"
-# Rounds without a better error on the validation rows that end the boosting (fixed value), and the
-# rounds of the first attempt; each further attempt doubles them.
-PATIENCE, FIRST_ROUNDS = 50, 64
+# Trees without a better error on the validation rows that end the boosting (fixed value), and the
+# trees that are fitted before the error is looked at again.
+PATIENCE, CHUNK = 50, 32
 
 # Settings of the gradient-boosted challenger.
 GBT_DEFAULTS = dict(lossType="absolute", maxIter=2000, stepSize=0.03, maxDepth=7,
@@ -124,11 +125,13 @@ def _with_bins(regressor, features: PipelineModel):
     return regressor.copy({regressor.maxBins: bins_for(features, regressor.getMaxBins())})
 
 
-def _fit(pipeline: Pipeline, regressor, train: DataFrame) -> PipelineModel:
+def fit_all(pipeline: Pipeline, regressors: Sequence, train: DataFrame) -> list[PipelineModel]:
+    """Each regressor behind the feature stages; rows are prepared once."""
     _checkpoint_folder(train)
     features = pipeline.fit(train)
-    model = _with_bins(regressor, features).fit(features.transform(train))
-    return PipelineModel(stages=[*features.stages, model])
+    rows = stage(features.transform(train).select(LABEL, "features"), "fit")
+    return [PipelineModel(stages=[*features.stages, _with_bins(r, features).fit(rows)])
+            for r in regressors]
 
 
 def bins_for(features: PipelineModel, least: int = 256) -> int:
@@ -137,16 +140,31 @@ def bins_for(features: PipelineModel, least: int = 256) -> int:
     return max([least, *[n + 1 for n in labels]])
 
 
+def joined_trees(models: Sequence[GBTRegressionModel], keep: int) -> GBTRegressionModel:
+    """One model of the first ``keep`` trees of boosted models that were fitted one after the other."""
+    trees = [t for m in models for t in m.trees][:keep]
+    weights = [w for m in models for w in m.treeWeights][:keep]
+    sc = SparkContext.getOrCreate()
+    kinds = sc._jvm.org.apache.spark.ml.regression
+    java_trees = sc._gateway.new_array(kinds.DecisionTreeRegressionModel, keep)
+    java_weights = sc._gateway.new_array(sc._jvm.double, keep)
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        java_trees[i], java_weights[i] = tree._java_obj, float(weight)
+    java = kinds.GBTRegressionModel(models[0].uid, java_trees, java_weights)
+    out = GBTRegressionModel(java)
+    return out.setFeaturesCol("features").setPredictionCol("prediction")
+
+
 def train_gbt(pipeline: Pipeline, train: DataFrame, valid: DataFrame | None = None,
-              patience: int = PATIENCE, first_rounds: int = FIRST_ROUNDS,
-              **params) -> PipelineModel:
+              patience: int = PATIENCE, chunk: int = CHUNK, **params) -> PipelineModel:
     """Gradient-boosted trees on the absolute error of ``label``.
 
-    With ``valid`` the model keeps the round with the lowest error there, once ``patience`` rounds
-    passed without a lower one; ``maxIter`` bounds the rounds. An attempt that ends too soon is
-    made again with twice the rounds: the same seed grows the same first trees. Feature stages are
-    fitted on ``train`` only. ``valid`` must not be the holdout that is reported: take the last
-    months before it.
+    Boosting goes on by chunks of ``chunk`` trees. The first tree of a chunk fits what the trees so
+    far leave, the others the sign of it in steps of ``stepSize``; what is left after a chunk is
+    written down, so no tree is fitted or applied twice. With ``valid`` the model keeps the trees up to
+    the lowest error there, once ``patience`` trees passed without a lower one; ``maxIter`` bounds their
+    number. Feature stages are fitted on ``train`` only. ``valid`` must not be the holdout that is
+    reported: take the last months before it.
     """
     settings = GBT_DEFAULTS | params
     features = pipeline.fit(train)
@@ -158,17 +176,20 @@ def train_gbt(pipeline: Pipeline, train: DataFrame, valid: DataFrame | None = No
         return PipelineModel(stages=[*features.stages, gbt.fit(rows)])
     held = stage(features.transform(valid).select(LABEL, "features"), "held")
     most = settings["maxIter"]
-    rounds = min(first_rounds, most)
+    parts: list[GBTRegressionModel] = []
+    errors: list[float] = []
     while True:
-        model = gbt.copy({gbt.maxIter: rounds}).fit(rows)
-        errors = model.evaluateEachIteration(held, gbt.getLossType())
+        part = gbt.copy({gbt.maxIter: min(chunk, most - len(errors)),
+                         gbt.seed: settings["seed"] + len(errors)}).fit(rows)
+        parts.append(part)
+        errors += part.evaluateEachIteration(held, gbt.getLossType())
         best = int(np.argmin(errors)) + 1
-        if best + patience <= rounds or rounds == most:
+        if best + patience <= len(errors) or len(errors) >= most:
             break
-        rounds = min(2 * rounds, most)
-    if best < rounds:
-        model = gbt.copy({gbt.maxIter: best}).fit(rows)
-    return PipelineModel(stages=[*features.stages, model])
+        rows, held = (stage(part.transform(df).select(
+            (F.col(LABEL) - F.col("prediction")).alias(LABEL), "features"), "left")
+            for df in (rows, held))
+    return PipelineModel(stages=[*features.stages, joined_trees(parts, best)])
 
 
 def predict_price(model: PipelineModel, df: DataFrame, out: str = "pred") -> DataFrame:
@@ -176,71 +197,12 @@ def predict_price(model: PipelineModel, df: DataFrame, out: str = "pred") -> Dat
     return scored.withColumn(out, F.expm1("prediction")).select(*df.columns, out)
 
 
-def default_grid(seed: int = 42, trees: int = 20, iterations: int = 10) -> dict[str, object]:
-    """Candidate regressors by name."""
-    common = dict(featuresCol="features", labelCol=LABEL)
-    grid = {f"linear_{reg}": LinearRegression(regParam=reg, **common) for reg in (0.0, 0.1)}
-    grid |= {f"forest_{d}": RandomForestRegressor(maxDepth=d, numTrees=trees, seed=seed, **common)
-             for d in (5,)}
-    grid |= {f"boosted_{d}": GBTRegressor(maxDepth=d, maxIter=iterations, seed=seed, **common)
-             for d in (4,)}
-    return grid
-
-
 def nrmse(df: DataFrame, y: str, pred: str) -> DataFrame:
     """One row: root mean squared error over the range of the target."""
     square = F.avg((F.col(y) - F.col(pred)) * (F.col(y) - F.col(pred)))
     return df.agg(F.try_divide(F.sqrt(square), F.max(y) - F.min(y)).alias("nrmse"))
 
 
-def model_search(folds: DataFrame, grid: dict[str, object] | None = None,
-                 target: str = "sale_price", top: int = 3, month: str = "sale_month",
-                 **matrix) -> tuple[list[PipelineModel], DataFrame, Pipeline]:
-    """Cross-validate every candidate on rolling-origin folds (columns ``fold``, ``role``).
-
-    Returns the ``top`` candidates refitted on all rows, for a vote, and the leaderboard
-    (candidate, fold, nrmse). Each fit is a distributed job over the fold. The last fold holds all
-    rows, and its encoding by earlier months is that of every shorter fold, so it is made once.
-    """
-    grid = default_grid() if grid is None else grid
-    # A few rows per month.
-    parts = stage(folds.select("fold", "role", month).distinct(), "parts")
-    numbers = sorted(r[0] for r in parts.select("fold").distinct().collect())
-    pipeline, rows = model_matrix(folds.filter(F.col("fold") == numbers[-1]).drop("fold", "role"),
-                                  target, month=month, **matrix)
-    high = [c for c in matrix.get("high_card", HIGH_CARDINALITY) if c in rows.columns]
-    full = stage(encode_past(rows, high, month=month), "full")
-    means = [f"{c}_mean" for c in high]
-    results = []
-    for number in numbers:
-        train, test = (full.join(F.broadcast(parts.filter(
-            (F.col("fold") == number) & (F.col("role") == role)).select(month)), month, "left_semi")
-            for role in ("train", "test"))
-        prepared = pipeline.fit(train)
-        fit_rows = stage(prepared.transform(train).select(LABEL, "features"), "fit")
-        test_rows = stage(prepared.transform(encode_known(test.drop(*means), train, high))
-                          .select(LABEL, target, "features"), "test")
-        for name, regressor in grid.items():
-            scored = _with_bins(regressor, prepared).fit(fit_rows).transform(test_rows).withColumn(
-                "pred", F.expm1("prediction"))
-            results.append((name, int(number), nrmse(scored, target, "pred").first()[0]))
-    board = folds.sparkSession.createDataFrame(results,
-                                               "candidate string, fold int, nrmse double")
-    scores = pd.DataFrame(results, columns=["candidate", "fold", "nrmse"])
-    best = scores.groupby("candidate")["nrmse"].mean().sort_values().index[:top]
-    return [_fit(pipeline, grid[name], full) for name in best], board, pipeline
-
-
-def vote(models: Sequence[PipelineModel], df: DataFrame, out: str = "pred") -> DataFrame:
-    """Mean of the models' prices."""
-    names = [f"_vote_{i}" for i in range(len(models))]
-    scored = df
-    for name, model in zip(names, models):
-        scored = predict_price(model, scored, name)
-    total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
-    return scored.withColumn(out, total / len(names)).drop(*names)
-
-
 # ---- calibration ------------------------------------------------------------------------------
 
 def _bin_of(pred, low, high, bins):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions.scalars import abs_pct_error
 from parcelspark.operators.quantiles import exact_percentiles, keyed_percentiles, running_counts
-from parcelspark.operators.skew import HOT_ROWS, lookup_join
+from parcelspark.operators.skew import HOT_ROWS, forward_fill, lookup_join
 from parcelspark.session import stage
 
 # Alert thresholds.
@@ -22,35 +22,28 @@ P95_RATIO_MAX = 2.0
 
 
 def join_actuals(preds: DataFrame, actuals: DataFrame, key: str, pred_ts: str, act_ts: str,
-                 values: Sequence[str], slot: str = "hour") -> DataFrame:
+                 values: Sequence[str], part_rows: int = HOT_ROWS) -> DataFrame:
     """Each actual with the latest prediction of its key at or before it.
 
-    Rows are sorted per key and time slot only. What earlier slots hand on is one row per key and
-    slot, the latest prediction so far, so a key with very many rows is spread over many tasks.
-    Among predictions of equal time the largest values win.
+    Both sides are sorted together by key and time in parts of about ``part_rows`` rows, cut at their
+    quantiles, and each part hands on its last prediction; so neither a key with very many rows nor
+    one hour of it is sorted in one task. Among predictions of equal time the largest values win.
     """
     names = [c for c in actuals.columns if c != key]
     last = F.struct(F.col(pred_ts).alias("pred_ts"), *values)
     left = preds.filter(F.col(key).isNotNull() & F.col(pred_ts).isNotNull()).select(
-        key, F.col(pred_ts).alias("_ts"), F.lit(0).alias("_side"), last.alias("_pred"))
-    right = actuals.filter(F.col(key).isNotNull()).select(
-        key, F.col(act_ts).alias("_ts"), F.lit(1).alias("_side"),
-        F.struct(*names).alias("_act"))
-    both = left.unionByName(right, allowMissingColumns=True).withColumn(
-        "_slot", F.date_trunc(slot, "_ts"))
-    handed = (both.groupBy(key, "_slot").agg(F.max("_pred").alias("_latest"))
-              .select(key, "_slot", F.max("_latest").over(
-                  Window.partitionBy(key).orderBy("_slot")
-                  .rowsBetween(Window.unboundedPreceding, -1)).alias("_carry")))
-    upto = (Window.partitionBy(key, "_slot").orderBy("_ts", "_side")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = both.withColumn("_seen", F.max("_pred").over(upto)).filter(F.col("_side") == 1)
-    pick = F.coalesce("_seen", "_carry")
-    out = seen.join(handed, [key, "_slot"], "left").select(
+        key, F.col(pred_ts).alias("_ts"), F.lit(0).alias("_side"), last.alias("_tie"),
+        last.alias("_pred"))
+    # An actual without a time has no prediction before it.
+    timed = F.col(key).isNotNull() & F.col(act_ts).isNotNull()
+    right = actuals.filter(timed).select(
+        key, F.col(act_ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*names).alias("_act"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    filled = forward_fill(both, [key], ["_ts", "_side", "_tie"], "_pred", part_rows)
+    out = filled.filter(F.col("_side") == 1).select(
         key, *[F.col("_act")[c].alias(c) for c in names],
-        *[pick[c].alias(c) for c in ("pred_ts", *values)])
-    keyless = actuals.filter(F.col(key).isNull())
-    return out.unionByName(keyless.select(*actuals.columns), allowMissingColumns=True)
+        *[F.col("_pred")[c].alias(c) for c in ("pred_ts", *values)])
+    return out.unionByName(actuals.filter(~timed), allowMissingColumns=True)
 
 
 def quality_monitor(joined: DataFrame, champion_mape: float, ts: str, y: str = "sale_price",

@@ -96,20 +96,27 @@ def laplace_noise(df: DataFrame, col: str, key: Sequence[str], secret: str,
 
 def privacy_report(before: DataFrame, after: DataFrame, quasi_ids: Sequence[str] = QUASI_IDS,
                    k: int = K) -> DataFrame:
-    """Release check as (item, value) rows: row-count delta, proof of k, columns removed and kept."""
-    proof = group_sizes(after, quasi_ids).agg(F.min("group_size").alias("m"))
-    rows_before = before.agg(F.count(F.lit(1)).alias("n")).scalar()
-    rows_after = after.agg(F.count(F.lit(1)).alias("n"))
+    """Release check as (item, value) rows: row-count delta, proof of k, columns removed and kept.
+
+    Each side is read once: the groups of ``after`` give both its rows and the smallest one. Rows
+    with a null quasi-identifier count as rows, and are a group of their own for the proof.
+    """
+    groups = after.groupBy(*quasi_ids).agg(F.count(F.lit(1)).alias("n"))
+    whole = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_after"),
+                       F.min("n").alias("smallest_group"))
+    # One row each.
+    counts = whole.crossJoin(F.broadcast(before.agg(F.count(F.lit(1)).alias("rows_before"))))
     removed = ",".join(sorted(set(before.columns) - set(after.columns)))
     schema = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in after.schema)
     leaked = ",".join(sorted(set(after.columns) & set(DIRECT_IDS)))
-    smallest = proof.scalar()
+    smallest = F.col("smallest_group")
     items = {
-        "rows_before": rows_before, "rows_after": F.col("n"), "rows_dropped": rows_before - F.col("n"),
+        "rows_before": F.col("rows_before"), "rows_after": F.col("rows_after"),
+        "rows_dropped": F.col("rows_before") - F.col("rows_after"),
         "smallest_group": smallest, "k_holds": F.coalesce(smallest >= k, F.lit(True)),
         "columns_removed": F.lit(removed), "direct_ids_left": F.lit(leaked),
         "schema": F.lit(schema),
     }
     pairs = [F.struct(F.lit(name).alias("item"), value.cast("string").alias("value"))
              for name, value in items.items()]
-    return rows_after.select(F.inline(F.array(*pairs)))
+    return counts.select(F.inline(F.array(*pairs)))

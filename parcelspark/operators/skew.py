@@ -80,6 +80,32 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: s
     return salted_join(facts, lookup, keys, how)
 
 
+def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                 part_rows: int = HOT_ROWS) -> DataFrame:
+    """``df`` with ``value`` replaced by the last one that isn't null up to the row, by ``keys``.
+
+    Rows are cut at quantiles of (keys, order) into parts of about ``part_rows``, so the rows of one key,
+    or of one key and moment, may spread over many tasks. Each part hands on the last value of each of
+    its keys, one row, to the parts behind it. ``order`` should leave no ties; keys must not be null.
+    """
+    keys, order = list(keys), list(order)
+    rows = stage(df, "rows")
+    parts = max(-(-rows.count() // part_rows), 1)
+    # A range exchange numbers its partitions in order; rows that tie stay together.
+    ranged = stage(rows.repartitionByRange(parts, *keys, *order)
+                   .withColumn("_part", F.spark_partition_id()), "ranged")
+    upto = (Window.partitionBy("_part", *keys).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = ranged.withColumn("_seen", F.last(value, ignorenulls=True).over(upto))
+    last = F.max_by(F.struct(value), F.when(F.col(value).isNotNull(), F.struct(*order)))
+    handed = stage(ranged.groupBy("_part", *keys).agg(last.alias("_last")).select(
+        "_part", *keys, F.last(F.col("_last")[value], ignorenulls=True).over(
+            Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_carry")), "handed")
+    out = lookup_join(seen, handed, ["_part", *keys])
+    return out.withColumn(value, F.coalesce("_seen", "_carry")).select(*df.columns)
+
+
 def lowest_share(df: DataFrame, by: Sequence[str], fraction: float, hex_key: Column,
                  bits: int = 12, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The ``ceil(fraction * n)`` rows of each group with the lowest ``hex_key`` digests.

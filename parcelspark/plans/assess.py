@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelspark.functions.scalars import half_even
-from parcelspark.operators import evaluate, monitor, similar, vision
+from parcelspark.operators import evaluate, monitor, profiles, similar, vision
 from parcelspark.operators.scoring import batch_score, conformal_bands
 from parcelspark.plans.fixtures import (CACHE_UNTIL, bronze, feedback, photo_json, photo_scores,
                                         request_log, table, valuations)
@@ -359,6 +359,29 @@ def ab_latency(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("error_rate", "p50", "p95", "p99")})
 
 
+@query("latency_profiles", f"""WITH {LOG} SELECT served_by, strftime(date_trunc('week', ts), '%Y-%m-%d')
+  AS week, count(*) AS requests, CAST(sum(is_error) AS BIGINT) AS errors,
+  round(quantile_cont(latency_ms, 0.95), 6) AS exact_p95, true AS close
+FROM log GROUP BY ALL""")
+def latency_profiles(spark, sf):
+    """Weekly profiles rolled up from stored minutes and hours, beside the exact percentile; ``close``
+    tells whether the exact p50, p95 and p99 lie within three points of rank in the sketch."""
+    log = stage(request_log(spark, sf), "log")
+    minutes = stage(profiles.profile(log), "minutes")
+    hours = stage(profiles.roll_up(minutes, "hour"), "hours")
+    weeks = profiles.roll_up(hours, "week")
+    qs = [0.5, 0.95, 0.99]
+    exact = log.groupBy("served_by", F.date_trunc("week", "ts").alias("slot")).agg(
+        F.percentile("latency_ms", qs).alias("p"))
+    close = F.lit(True)
+    for i, q in enumerate(qs):
+        close = close & F.col("p")[i].between(profiles.quantile(q - 0.03),
+                                              profiles.quantile(min(q + 0.03, 1.0)))
+    return weeks.join(exact, ["served_by", "slot"]).select(
+        "served_by", F.date_format("slot", "yyyy-MM-dd").alias("week"), "requests", "errors",
+        F.round(F.col("p")[1], 6).alias("exact_p95"), close.alias("close"))
+
+
 def _halves(spark, sf, *extra):
     df = valuations(spark, sf, ["size_sqm", "sale_price", "year_built", "sale_date", *extra])
     early = F.col("sale_date") < F.lit("2000-01-01").cast("date")

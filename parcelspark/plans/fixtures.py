@@ -47,6 +47,15 @@ VALUATION_COLUMNS = {
                             "CAST((l_orderkey * 11 + l_partkey) % 101 AS DOUBLE) / "
                             "CAST(100 AS DOUBLE))"),
 }
+# A price that depends on its features, and the same with noise of up to a fifth.
+_SIGNAL = ("exp(CAST(8.2 AS DOUBLE) + CAST(0.85 AS DOUBLE) * ln(1 + l_quantity * 5)"
+           " + CAST(0.06 AS DOUBLE) * (1 + p_size % 8) + CAST(0.04 AS DOUBLE) * (1 + p_size % 4)"
+           " + CAST(0.004 AS DOUBLE) * (l_partkey % 124) + CAST(0.15 AS DOUBLE) * r_regionkey")
+_NOISE = ("CAST(0.4 AS DOUBLE) * (CAST((l_orderkey * 7919 + l_partkey * 104729 + l_suppkey * 31"
+          " + l_linenumber * 15485863) % 10007 AS DOUBLE) / CAST(10007 AS DOUBLE)"
+          " - CAST(0.5 AS DOUBLE))")
+VALUATION_COLUMNS |= {"signal_mean": ("ocnrp", f"{_SIGNAL})"),
+                      "signal_price": ("ocnrp", f"{_SIGNAL} + {_NOISE})")}
 RAW = ["property_id", "owner_name", "owner_id", "account_number", "street_address", "postcode",
        "latitude", "longitude", "property_type", "size_sqm", "rooms", "bathrooms", "year_built",
        "sale_date", "sale_price", "region_code"]

@@ -12,7 +12,7 @@ from parcelspark.plans.fixtures import (AS_OF, DIMENSIONS, SALT, bronze, dimensi
 from parcelspark.plans.registry import B, BAND_SQL, SILVER, V, VISION, hex_sql, query
 from parcelspark.operators.vision import aggregate_vision
 from parcelspark.session import scratch_path, stage
-from parcelspark.sources import landing, synthetic, tables
+from parcelspark.sources import hashtree, landing, synthetic, tables
 
 KEY = "property_id"
 
@@ -78,13 +78,17 @@ UNION ALL SELECT 'rows_after', CAST(CAST(kept AS BIGINT) AS VARCHAR) FROM t
 UNION ALL SELECT 'rows_dropped', CAST(CAST(total - kept AS BIGINT) AS VARCHAR) FROM t
 UNION ALL SELECT 'smallest_group', CAST(smallest AS VARCHAR) FROM t
 UNION ALL SELECT 'k_holds', 'true'
-UNION ALL SELECT 'direct_ids_left', ''""")
+UNION ALL SELECT 'direct_ids_left', ''
+UNION ALL SELECT 'columns_removed', 'account_number,latitude,longitude,owner_id,owner_name,postcode,'
+  || 'property_id,sale_date,street_address'
+UNION ALL SELECT 'schema', 'geo_h3_r8:string,property_type:string,sale_month:string,size_band:string,'
+  || 'size_sqm:double,rooms:int,bathrooms:int,year_built:int,sale_price:double,region_code:string,'
+  || 'property_hash:string,postcode_prefix:string'""")
 def privacy_release(spark, sf):
     raw = valuations(spark, sf)
     anon = privacy.generalize(privacy.pseudonymize(raw, KEY, SALT)).withColumn(
         "size_band", size_band(F.col("size_sqm")))
-    report = privacy.privacy_report(raw, privacy.k_anonymize(anon))
-    return report.filter(~F.col("item").isin("columns_removed", "schema"))
+    return privacy.privacy_report(raw, privacy.k_anonymize(anon))
 
 
 @query("dp_noise", f"""WITH {V}, u AS (SELECT property_id, sale_price,
@@ -183,24 +187,55 @@ def bronze_ingest(spark, sf):
 
 
 @query("partitioned_roundtrip", f"""WITH {B} SELECT property_hash, sale_month, property_type, size_band,
-  sale_price FROM b WHERE sale_month >= '2000-01'""")
+  sale_price FROM b""")
 def partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "table")
     tables.write_table(bronze(spark, sf), path)
-    back = spark.read.parquet(path).filter("sale_month >= '2000-01'")
-    return back.select("property_hash", "sale_month", "property_type", "size_band", "sale_price")
+    return spark.read.parquet(path).select(
+        "property_hash", F.col("sale_month").cast("string").alias("sale_month"), "property_type",
+        "size_band", "sale_price")
 
 
-@query("clustered_write", f"""WITH {B} SELECT geo_h3_r8, property_type, count(*) AS n,
-  round(sum(sale_price), 2) AS total_price FROM b WHERE property_type = 'PROMO' GROUP BY ALL""")
+_CELLS = ["sale_month", "geo_h3_r8", "property_type"]
+
+
+@query("clustered_write", f"""WITH {B} SELECT geo_h3_r8, property_type, sale_month, count(*) AS n,
+  round(sum(sale_price), 2) AS total_price FROM b GROUP BY ALL""")
 def clustered_write(spark, sf):
     path = scratch_path(spark, "clustered")
-    tables.write_clustered(bronze(spark, sf), path, ["sale_month", "geo_h3_r8", "property_type"])
-    rows = spark.read.parquet(path).filter(F.col("property_type") == "PROMO")
-    return rows.groupBy("geo_h3_r8", "property_type").agg(
+    tables.write_clustered(bronze(spark, sf), path, _CELLS)
+    return spark.read.parquet(path).groupBy(*_CELLS).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("sale_price"), 2).alias("total_price"))
+
+
+@query("curve_write", f"""WITH {B} SELECT geo_h3_r8, property_type, sale_month, count(*) AS n,
+  round(sum(sale_price), 2) AS total_price FROM b GROUP BY ALL""")
+def curve_write(spark, sf):
+    path = scratch_path(spark, "curve")
+    tables.write_on_curve(stage(bronze(spark, sf), "rows"), path, _CELLS)
+    return spark.read.parquet(path).groupBy(*_CELLS).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("sale_price"), 2).alias("total_price"))
 
 
+@query("landing_differences", f"""WITH {B}, k AS (SELECT property_hash, sale_month,
+  ('0x' || substr(property_hash, 1, 6))::BIGINT % 997 AS h FROM b)
+SELECT property_hash, CASE WHEN h = 3 THEN 'changed' WHEN h = 5 THEN 'lost' ELSE 'changed' END AS change
+FROM k WHERE h IN (3, 5, 7)
+UNION ALL SELECT property_hash || '-new', 'added' FROM k WHERE h = 11""")
+def landing_differences(spark, sf):
+    """Keys that a landed copy changed, lost, holds twice, or has beyond its source."""
+    src = stage(bronze(spark, sf), "rows")
+    h = F.conv(F.substring("property_hash", 1, 6), 16, 10).cast("long") % 997
+    kept = src.filter(h != 5).withColumn("rooms", F.when(h == 3, F.col("rooms") + 1)
+                                         .otherwise(F.col("rooms")))
+    new = src.filter(h == 11).withColumn("property_hash", F.concat("property_hash", F.lit("-new")))
+    dst = kept.unionByName(src.filter(h == 7)).unionByName(new)
+    paths = [scratch_path(spark, name) for name in ("source", "landed")]
+    for df, path in zip((src, dst), paths):
+        hashtree.write_with_tree(df, path, ["property_hash"])
+    return hashtree.compare_trees(spark, *paths, ["property_hash"]).rows
+
+
 @query("snapshot_latest", f"""WITH {B} SELECT sale_month, count(*) AS n,
   round(sum(sale_price), 2) AS total_price FROM b GROUP BY sale_month""")
 def snapshot_latest(spark, sf):
@@ -212,6 +247,24 @@ def snapshot_latest(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.sum("sale_price"), 2).alias("total_price"))
 
 
+@query("compacted_snapshot", f"""WITH {B}, n AS (SELECT sale_month, count(*) AS n,
+  round(sum(sale_price), 2) AS total_price FROM b GROUP BY sale_month)
+SELECT *, true AS few_files FROM n""")
+def compacted_snapshot(spark, sf):
+    """A snapshot of very many small files by month, after its compaction: the same rows, and at most
+    one file a job beside those that were large enough."""
+    base = scratch_path(spark, "many")
+    df = bronze(spark, sf).select("property_hash", "sale_month", "sale_price")
+    tables.publish_snapshot(df.repartition(64), base, "2026.05.12")
+    before = tables.file_sizes(spark, tables.snapshot_folder(spark, base)).agg(
+        F.count(F.lit(1)).alias("files"), F.max("length").alias("largest")).first()
+    folder = tables.compact(spark, base, target=8 * before["largest"])
+    after = tables.file_sizes(spark, folder).count()
+    return tables.read_snapshot(spark, base).groupBy("sale_month").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("sale_price"), 2).alias("total_price")).withColumn(
+        "few_files", F.lit(after <= before["files"] // 4))
+
+
 @query("landing_reconcile", f"""WITH {B}, s AS (SELECT CASE WHEN sale_month <> '1995-01' THEN sale_month
   END AS sale_month, count(*) AS n, round(sum(sale_price), 2) AS t FROM b GROUP BY 1),
 k AS (SELECT 'same' AS landed UNION ALL SELECT 'changed' UNION ALL SELECT 'swapped'

@@ -57,7 +57,7 @@ B = (V + ", " + CENTRES + f", b AS MATERIALIZED (SELECT substr(sha256('{SALT}' |
      " AS property_hash, geo_h3_r8, substr(postcode, 1, 3) AS postcode_prefix,"
      " strftime(sale_date, '%Y-%m') AS sale_month, property_type,"
      f" {BAND_SQL} AS size_band, size_sqm, rooms, bathrooms, year_built, sale_price,"
-     " champion_pred, challenger_pred, region_code, sale_date"
+     " champion_pred, challenger_pred, region_code, sale_date, signal_mean, signal_price"
      " FROM v JOIN centres USING (latitude, longitude))")
 
 PHOTOS = ("photos AS (SELECT "

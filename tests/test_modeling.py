@@ -63,7 +63,7 @@ def test_boosting_goes_on_while_the_error_falls(spark):
     pipeline, rows = modeling.model_matrix(df, high_card=[], carry=["held"])
     train, valid = rows.filter("NOT held"), rows.filter("held")
     model = modeling.train_gbt(pipeline, train, valid, maxIter=70, maxDepth=2, stepSize=0.1,
-                               minInstancesPerNode=5, subsamplingRate=1.0, patience=10, first_rounds=70)
+                               minInstancesPerNode=5, subsamplingRate=1.0, patience=10, chunk=70)
     kept = model.stages[-1].getNumTrees
     assert 50 < kept <= 70
     errors = model.stages[-1].evaluateEachIteration(model.transform(valid).drop("prediction"),
@@ -71,6 +71,32 @@ def test_boosting_goes_on_while_the_error_falls(spark):
     assert errors[-1] == min(errors)
 
 
+def test_no_tree_is_fitted_twice(spark, monkeypatch):
+    df = spark.range(1500).select(
+        (F.col("id") % 97).cast("double").alias("size_sqm"), F.lit("a").alias("property_type"),
+        ((F.col("id") % 97) * 1000.0 + 500).alias("sale_price"),
+        (F.col("id") % 4 == 0).alias("held"))
+    pipeline, rows = modeling.model_matrix(df, high_card=[], carry=["held"])
+    train, valid = rows.filter("NOT held"), rows.filter("held")
+    fitted, fit = [], modeling.GBTRegressor._fit
+
+    def counted(self, dataset):
+        fitted.append(self.getMaxIter())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(modeling.GBTRegressor, "_fit", counted)
+    model = modeling.train_gbt(pipeline, train, valid, maxIter=60, maxDepth=2, stepSize=0.2,
+                               minInstancesPerNode=5, subsamplingRate=1.0, patience=6, chunk=8)
+    kept = model.stages[-1].getNumTrees
+    assert len(fitted) > 1 and set(fitted[:-1]) == {8}
+    # The trees that were fitted are those up to the best one, the patience, and a chunk at most.
+    assert kept <= sum(fitted) < kept + 6 + 8 or sum(fitted) == 60
+    # The joined model predicts what its chunks predict one after the other.
+    errors = model.stages[-1].evaluateEachIteration(model.transform(valid).drop("prediction"),
+                                                    "absolute")
+    assert len(errors) == kept and errors[-1] == min(errors)
+
+
 def test_train_score_and_save(spark, prepared):
     pipeline, train, valid, holdout = prepared
     model = modeling.train_gbt(pipeline, train, valid, **SMALL)
@@ -109,15 +135,6 @@ def test_isotonic_pools_violators(spark):
     assert got == pytest.approx([2 / 1, 2 / 10, 5 / 100])
 
 
-def test_model_search_and_vote(gold):
-    folds = sampling.rolling_origin_folds(gold.drop("property_hash"), folds=2)
-    grid = {k: v for k, v in modeling.default_grid(trees=3, iterations=2).items()
-            if not k.startswith("boosted")}
-    models, board, _ = modeling.model_search(folds, grid, top=2)
-    assert board.count() == 2 * len(grid) and board.filter("nrmse > 0").count() == board.count()
-    assert len(models) == 2
-
-
 def test_retrain_chain(spark, gold):
     base = scratch_path(spark, "snapshots")
     publish_snapshot(gold, base, "2026.05.12")
