@@ -8,11 +8,11 @@ from parcelspark.functions.scalars import fine_band, size_band
 from parcelspark.operators import enrich as E
 from parcelspark.operators import features, privacy, sampling
 from parcelspark.plans.fixtures import (AS_OF, DIMENSIONS, SALT, bronze, dimension, photo_scores,
-                                        valuations)
+                                        table, valuations)
 from parcelspark.plans.registry import B, BAND_SQL, SILVER, V, VISION, hex_sql, query
 from parcelspark.operators.vision import aggregate_vision
 from parcelspark.session import scratch_path, stage
-from parcelspark.sources import hashtree, landing, synthetic, tables
+from parcelspark.sources import hashtree, landing, photos, synthetic, tables
 
 KEY = "property_id"
 
@@ -247,6 +247,40 @@ def snapshot_latest(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.sum("sale_price"), 2).alias("total_price"))
 
 
+_PHOTO_BYTES = 150
+
+
+@query("photo_scoring", f"""WITH f AS (SELECT user_id, count(*) AS n, min(event_id) % 10 = 3 AS blurred,
+  sum(length(CAST(event_id AS VARCHAR)) + 1) > {_PHOTO_BYTES} AS large FROM events GROUP BY user_id)
+SELECT CAST(user_id AS VARCHAR) AS property_hash,
+  CASE WHEN NOT large AND NOT blurred THEN '{{"lines": ' || n || '}}' END AS score_json,
+  CASE WHEN large THEN 'too large' WHEN blurred THEN 'ValueError: blurred' END AS error,
+  CAST(CASE WHEN large THEN 0 WHEN blurred THEN 2 ELSE 1 END AS INT) AS attempts FROM f""")
+def photo_scoring(spark, sf):
+    """A file for each property, scored through its manifest; large files and failures included."""
+    folder = scratch_path(spark, "photos")
+    (table(spark, sf, "events").select(F.col("user_id").alias("property_hash"),
+                                       F.col("event_id").cast("string").alias("value"))
+     .repartition("property_hash").write.partitionBy("property_hash").text(folder))
+    path = F.col("path")
+    manifest = tables.file_sizes(spark, folder, "*.txt").select(
+        F.regexp_extract(path, "property_hash=([^/]*)/", 1).alias("property_hash"),
+        path.alias("photo_url"), F.element_at(F.split(path, "/"), -1).alias("photo_hash"))
+
+    def scorer(image: bytes) -> str:
+        ids = [int(x) for x in image.split()]
+        if min(ids) % 10 == 3:
+            raise ValueError("blurred")
+        return f'{{"lines": {len(ids)}}}'
+
+    # Part files of one task share a name but for their folder; a photo's name must be its own.
+    named = manifest.withColumn("photo_hash", F.concat("property_hash", F.lit("/"), "photo_hash"))
+    files = photos.photo_files(spark, folder, named, _PHOTO_BYTES)
+    out = photos.score_files(spark, folder, files, scorer, max_bytes=_PHOTO_BYTES)
+    return out.select("property_hash", "score_json", "error", F.col("attempts").cast("int")
+                      .alias("attempts"))
+
+
 @query("compacted_snapshot", f"""WITH {B}, n AS (SELECT sale_month, count(*) AS n,
   round(sum(sale_price), 2) AS total_price FROM b GROUP BY sale_month)
 SELECT *, true AS few_files FROM n""")

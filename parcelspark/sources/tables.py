@@ -94,9 +94,9 @@ def write_on_curve(df: DataFrame, path: str, cols: Sequence[str], files: int | N
      .parquet(path))
 
 
-def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, length)`` of the Parquet files under a folder; their content isn't read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+def file_sizes(spark: SparkSession, folder: str, names: str = "*.parquet") -> DataFrame:
+    """``(path, length)`` of the files under a folder; their content isn't read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", names)
             .option("recursiveFileLookup", True).load(folder).select("path", "length"))
 
 
