@@ -27,6 +27,8 @@ COUNTED = 0.34
 REMEMBERED = 1 << 18
 #: Shingles in one block of the prefix-tree join (8 bytes each).
 BLOCK = 1 << 20
+#: Members of a run whose pairs are listed; larger runs are compared by blocks of at most MEMBERS sets.
+PAIRED, MEMBERS = 48, 2048
 SALTS = 64
 #: Rounds of neighbour pairs before what is left is compared in full.
 ROUNDS = 4
@@ -356,18 +358,14 @@ def _overlaps(query: np.ndarray, members: list[np.ndarray], percent: int) -> np.
     return linked
 
 
-def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, words: int,
-              percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of set identities whose sets link.
+def _sets(docs: DataFrame, narrow: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``(sig, own)`` of the ``wanted`` set identities, cut from their texts again.
 
-    Only candidate sets are cut from their texts again; a Bloom filter of bounded size leaves out
-    the other rows before the shuffle. Blocks hold one query set and BLOCK shingles of candidates.
+    A Bloom filter of bounded size leaves out the other rows before the shuffle.
     """
-    parts = stage(pairs.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts")),
-                  "parts")
     first = narrow.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-                .join(first, "sig").select("sig", F.xxhash64("doc_id").alias("h")), "candidates")
+    ids = stage(wanted.distinct().join(first, "sig").select(
+        "sig", F.xxhash64("doc_id").alias("h")), "candidates")
     bits, segments = bloom_filter(ids, "h", ids.count())
     marked = mark_possible(docs.withColumn("h", F.xxhash64("doc_id")), "h", bits, segments)
 
@@ -376,6 +374,8 @@ def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, words: int,
         for batch in batches:
             for piece in slices([batch], "text", 2 << 20):
                 found = {}
+                if len(known) >= REMEMBERED:
+                    known.clear()
                 for own in shingle_sets(piece.column("text"), words):
                     if len(own) and (sig := _signature(own)) not in known:
                         known.add(sig)
@@ -384,7 +384,100 @@ def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, words: int,
                     "sig": pa.array(list(found), pa.int64()),
                     "own": pa.array(list(found.values()), pa.binary())})
 
-    sets = marked.filter("maybe").select("text").mapInArrow(cut, "sig long, own binary")
+    return marked.filter("maybe").select("text").mapInArrow(cut, "sig long, own binary")
+
+
+def _joining(left: list[np.ndarray], right: list[np.ndarray], known: np.ndarray,
+             percent: int) -> list[tuple[int, int]]:
+    """Links ``(i, j)`` of left and right sets that join what isn't joined, as few as needed.
+
+    ``known`` has the components of the left sets, then of the right ones; sets of one component aren't
+    compared. Overlaps of all pairs are counted as a product, over the shingles that both sides have.
+    """
+    sizes = [np.fromiter(map(len, side), np.int64, len(side)) for side in (left, right)]
+    tokens = [np.concatenate(side) for side in (left, right)]
+    owners = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    shared = np.intersect1d(*tokens)
+    places = [np.searchsorted(shared, t) for t in tokens]
+    count = np.zeros((len(left), len(right)), np.float32)
+    hits = []
+    for t, at, owner in zip(tokens, places, owners):
+        real = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == t) if len(shared) else at[:0]
+        order = real[np.argsort(at[real], kind="stable")]
+        hits.append((at[order], owner[order]))
+    for lo in range(0, len(shared), 1024):
+        planes = []
+        for (at, owner), n in zip(hits, sizes):
+            a, b = np.searchsorted(at, [lo, lo + 1024])
+            plane = np.zeros((len(n), min(1024, len(shared) - lo)), np.float32)
+            plane[owner[a:b], at[a:b] - lo] = 1
+            planes.append(plane)
+        count += planes[0] @ planes[1].T
+    both = sizes[0][:, None] + sizes[1]
+    linked = 100 * count >= percent * (both - count)
+    part = np.unique(known, return_inverse=True)[1]
+    linked &= part[:len(left), None] != part[len(left):]
+    root = list(range(int(part.max()) + 1))
+
+    def top(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for i in np.flatnonzero(linked.any(axis=1)).tolist():
+        own = top(part[i])
+        for j in np.flatnonzero(linked[i]).tolist():
+            other = top(part[len(left) + j])
+            if own != other:
+                root[other] = own
+                out.append((i, j))
+    return out
+
+
+def _joined_in_full(docs: DataFrame, narrow: DataFrame, left: DataFrame, words: int,
+                    percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join components inside the runs of ``left`` (run, sig, n, component).
+
+    All members of a run that aren't joined yet are compared. A run is cut into blocks of bounded
+    size, and each pair of blocks is a group of its own, so a run that holds a large group of texts is
+    spread over many tasks; sets travel by block, and no pairs leave a task but the links it needs.
+    """
+    members = left.select("run", "sig", "n", "component").distinct()
+    sizes = stage(members.groupBy("run").agg(F.greatest(
+        F.ceil(F.sum("n") / BLOCK), F.ceil(F.count(F.lit(1)) / MEMBERS)).cast("int").alias("parts")),
+        "parts")
+    own = members.join(sizes, "run").withColumn("i", F.pmod(F.xxhash64("sig"), "parts").cast("int"))
+    placed = stage(own.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "run", F.least("i", "k").alias("lo"), F.greatest("i", "k").alias("hi"), "i", "sig",
+        "component"), "blocks")
+    sets = _sets(docs, narrow, members.select("sig"), words)
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        # Rows that share a doc_id may give a set twice.
+        frame = frame.drop_duplicates("sig").sort_values("sig")
+        sides = [frame[frame["i"] == frame["lo"]], frame[frame["i"] == frame["hi"]]]
+        if not len(sides[0]) or not len(sides[1]):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        known = np.concatenate([x["component"].to_numpy() for x in sides])
+        found = _joining(*[[np.frombuffer(x, np.uint64) for x in side["own"]] for side in sides],
+                         known, percent)
+        return pd.DataFrame({"a": sides[0]["sig"].to_numpy()[[i for i, _ in found]],
+                             "b": sides[1]["sig"].to_numpy()[[j for _, j in found]]}).astype("int64")
+
+    return stage(placed.join(sets, "sig").groupBy("run", "lo", "hi")
+                 .applyInPandas(join, "a long, b long").distinct(), "links")
+
+
+def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, words: int,
+              percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of set identities whose sets link.
+
+    Blocks hold one query set and BLOCK shingles of candidates.
+    """
+    parts = stage(pairs.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts")),
+                  "parts")
+    sets = _sets(docs, narrow, pairs.select(F.explode(F.array("a", "b")).alias("sig")), words)
     block = F.pmod(F.xxhash64("b"), "parts").cast("int")
     wanted = stage(
         pairs.join(parts, "a").select("a", block.alias("part"), F.col("b").alias("sig"),
@@ -416,10 +509,10 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     own. An empty table gives an empty result; other columns are ignored.
 
     Equal sets are one node. Two nodes that link share a least number of prefix shingles, which
-    their sizes tell. Nodes are first compared with the smallest node of a shingle and then, in
-    rounds, with a neighbour; then every pair of nodes that share enough prefix shingles but still
-    aren't in one component is compared, so no link between components is lost. Shingles and sets are known by
-    64-bit hashes.
+    their sizes tell. Nodes are first compared with the node of a shingle that is least alone and then,
+    in rounds, with a neighbour; then every pair of nodes that share enough prefix shingles but still
+    aren't in one component is compared, so no link between components is lost. Shingles and sets are known
+    by 64-bit hashes.
     """
     docs = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                               text_or_empty("text").alias("text")))
@@ -465,8 +558,9 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
             "run", F.col("member").alias("sig"), "n",
             F.coalesce("component", "member").alias("component")), "named")
         several = stage(named.groupBy("run").agg(F.min("component").alias("lo"),
-                                                 F.max("component").alias("hi"))
-                        .filter("lo <> hi").select("run").join(weights, "run"), "several")
+                                                 F.max("component").alias("hi"),
+                                                 F.count(F.lit(1)).alias("size"))
+                        .filter("lo <> hi").select("run", "size").join(weights, "run"), "several")
         return stage(named.join(several, "run"), "open")
 
     # Members of a run in a hashed order, another one each round: neighbours of two components are
@@ -491,8 +585,14 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
         links = links.union(found)
         parts = stage(components(links, "a", "b"), "parts")
 
-    # What is left is compared in full: pairs of two components that share enough shingles.
-    left = open_rows(parts)
+    # What is left is compared in full: large runs by blocks of their sets, then the pairs of two
+    # components that share enough shingles of small runs. A pair that shares too few of those has
+    # others in a large run, where it was compared.
+    left = open_rows(parts).filter(F.col("size") > PAIRED)
+    if not left.isEmpty():
+        links = links.union(_joined_in_full(docs, narrow, left, words, percent))
+        parts = stage(components(links, "a", "b"), "parts")
+    left = open_rows(parts).filter(F.col("size") <= PAIRED)
     other = left.select("run", F.col("sig").alias("b"), F.col("n").alias("m"),
                         F.col("component").alias("other"))
     rest = stage(left.join(other, "run")

@@ -18,7 +18,8 @@ from parcelspark.llm.common import components
 from parcelspark.llm.exact import bloom_filter, drop_exact_duplicates, exact_duplicates, mark_possible
 from parcelspark.llm.langid import Network, fit, identify, predict, train
 from parcelspark.llm.lines import drop_repeated_lines
-from parcelspark.llm.ngram import _overlaps, drop_near_duplicates, ngram_components
+from parcelspark.llm.ngram import (_joining, _overlaps, drop_near_duplicates,
+                                   ngram_components)
 from parcelspark.llm.packing import complete_bins, pack
 from parcelspark.llm.tokens import longest_prefix, prefix_counts, token_budget, tokens_within
 
@@ -155,6 +156,56 @@ def test_prefix_tree_equals_set_overlap(seed):
     assert _overlaps(query, members, 75).tolist() == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_join_what_links(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2000, (3, 60))
+    sets = []
+    for _ in range(50):
+        own = base[rng.integers(3)].copy()
+        own[rng.random(60) < rng.choice([0.05, 0.15, 0.4])] = rng.integers(0, 5000)
+        sets.append(np.unique(own).astype(np.uint64))
+    known = rng.integers(0, 30, 50)
+    cut = (0, 20, 50)[seed % 3]
+    left, right = (sets, sets) if cut in (0, 50) else (sets[:cut], sets[cut:])
+    parts = np.concatenate([known, known]) if left is right else known
+    at = {0: 0, 50: 0}.get(cut, cut)
+    got = _joining(left, right, parts, 75)
+
+    def closed(links):
+        low = {int(k): int(k) for k in known}
+        for i, j in [(a, b) for a, b in links] * 60:
+            x, y = low[int(known[i])], low[int(known[at + j])]
+            for k, v in low.items():
+                low[k] = min(x, y) if v in (x, y) else v
+        return low
+
+    every = [(i, j) for i, a in enumerate(left) for j, b in enumerate(right)
+             if 100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b))]
+    assert set(got) <= set(every) and closed(got) == closed(every)
+    assert len(got) < len(set(known.tolist()))
+
+
+def test_large_runs_are_compared_by_blocks(spark, monkeypatch):
+    """A group of near copies of one text, many of which link only with few others."""
+    import parcelspark.llm.ngram as ngram
+
+    monkeypatch.setattr(ngram, "PAIRED", 3)
+    monkeypatch.setattr(ngram, "MEMBERS", 7)
+    monkeypatch.setattr(ngram, "ROUNDS", 1)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for d in range(60):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 2, 3])):
+            words[rng.randrange(70)] = f"x{rng.randrange(10**6)}"
+        rows.append((d, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    low = linked_components({d: shingles(t) for d, t in rows})
+    assert {r.doc_id: r.component_id for r in ngram_components(df).collect()} == low
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7),
                                                                                         (None, 3)]
