@@ -28,7 +28,7 @@ REMEMBERED = 1 << 18
 #: Shingles in one block of the prefix-tree join (8 bytes each).
 BLOCK = 1 << 20
 #: Members of a run whose pairs are listed; larger runs are compared by blocks of at most MEMBERS sets.
-PAIRED, MEMBERS = 48, 2048
+PAIRED, MEMBERS = 48, 4096
 SALTS = 64
 #: Rounds of neighbour pairs before what is left is compared in full.
 ROUNDS = 4
