@@ -413,10 +413,7 @@ def _joining(left: list[np.ndarray], right: list[np.ndarray], known: np.ndarray,
             plane[owner[a:b], at[a:b] - lo] = 1
             planes.append(plane)
         count += planes[0] @ planes[1].T
-    both = sizes[0][:, None] + sizes[1]
-    linked = 100 * count >= percent * (both - count)
     part = np.unique(known, return_inverse=True)[1]
-    linked &= part[:len(left), None] != part[len(left):]
     root = list(range(int(part.max()) + 1))
 
     def top(x):
@@ -425,13 +422,16 @@ def _joining(left: list[np.ndarray], right: list[np.ndarray], known: np.ndarray,
         return x
 
     out = []
-    for i in np.flatnonzero(linked.any(axis=1)).tolist():
-        own = top(part[i])
-        for j in np.flatnonzero(linked[i]).tolist():
-            other = top(part[len(left) + j])
+    for lo in range(0, len(left), 256):
+        hits = count[lo:lo + 256].astype(np.int64)
+        both = sizes[0][lo:lo + 256, None] + sizes[1]
+        linked = (100 + percent) * hits >= percent * both
+        linked &= part[lo:lo + 256][:len(hits), None] != part[len(left):]
+        for i, j in np.argwhere(linked).tolist():
+            own, other = top(part[lo + i]), top(part[len(left) + j])
             if own != other:
                 root[other] = own
-                out.append((i, j))
+                out.append((lo + i, j))
     return out
 
 
