@@ -149,6 +149,19 @@ def test_large_slices_are_divided_again(spark, by):
     np.testing.assert_allclose(np.stack(plain["p"]), np.stack(deep["p"]))
 
 
+def test_exact_percentiles_of_copies_need_one_round(spark, monkeypatch):
+    """Copies of a few values fill no slice that would be divided."""
+    from parcelspark.operators import quantiles
+
+    rounds, staged = [], quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda df, label: (rounds.append(label), staged(df, label))[1])
+    df = spark.range(4000).select((F.col("id") % 10).cast("double").alias("v"))
+    qs = [0.0, 0.25, 0.5, 0.95, 1.0]
+    got = exact_percentiles(df, "v", qs, sort_rows=1000).first()
+    np.testing.assert_allclose(got["p"], np.quantile(np.arange(4000) % 10, qs))
+    assert rounds.count("slices") == 1
+
+
 def brute_force(emb, k):
     m = np.stack(emb["vec"])
     m = m / np.linalg.norm(m, axis=1, keepdims=True)
