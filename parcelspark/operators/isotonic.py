@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -14,11 +14,20 @@ from parcelspark.operators.skew import HOT_ROWS, forward_fill, lookup_join
 from parcelspark.session import stage
 
 _BLOCK = ["lo", "hi", "total", "n"]
+#: Range partitions of a round, unless one would hold more than HOT_ROWS points.
+MAX_PARTS = 256
 
 
-def pool(blocks: list[tuple[float, float, float, int]]) -> list[tuple[float, float, float, int]]:
-    """Neighbouring blocks ``(lo, hi, total, n)`` pooled until their means rise."""
-    out: list[tuple[float, float, float, int]] = []
+def parts_for(rows: int, part_rows: int) -> int:
+    """Partitions of about ``part_rows`` points, so many that neither their number nor one of them grows
+    with the table alone: the driver samples every range partition, and each is a task and a file."""
+    return max(min(math.ceil(rows / part_rows), max(MAX_PARTS, math.ceil(rows / HOT_ROWS))), 1)
+
+
+def pool(blocks: Iterable[tuple[float, float, float, int]],
+         out: list[tuple[float, float, float, int]] | None = None) -> list[tuple[float, float, float, int]]:
+    """Neighbouring blocks ``(lo, hi, total, n)`` pooled until their means rise, behind those of ``out``."""
+    out = [] if out is None else out
     for lo, hi, total, n in blocks:
         while out and out[-1][2] * n >= total * out[-1][3]:
             before = out.pop()
@@ -35,12 +44,11 @@ def _pooled(points: DataFrame, region: str, parts: int) -> DataFrame:
         part, names, blocks, owner = TaskContext.get().partitionId(), [], [], None
 
         def flush():
-            done = pool(blocks)
-            columns = [pa.array([owner] * len(done), names[0].type),
-                       *[pa.array([b[i] for b in done], t) for i, t in enumerate(
+            columns = [pa.array([owner] * len(blocks), names[0].type),
+                       *[pa.array([b[i] for b in blocks], t) for i, t in enumerate(
                            (pa.float64(), pa.float64(), pa.float64(), pa.int64()))]]
             return pa.RecordBatch.from_arrays(
-                [*columns, pa.array([part] * len(done), pa.int32())], [region, *_BLOCK, "part"])
+                [*columns, pa.array([part] * len(blocks), pa.int32())], [region, *_BLOCK, "part"])
 
         for batch in batches:
             names = [batch.column(0)]
@@ -50,9 +58,7 @@ def _pooled(points: DataFrame, region: str, parts: int) -> DataFrame:
                     yield flush()
                     blocks = []
                 owner = name
-                blocks.append(tuple(block))
-            if len(blocks) > 4 * HOT_ROWS:
-                blocks = pool(blocks)
+                pool([tuple(block)], blocks)
         if blocks:
             yield flush()
 
@@ -70,8 +76,8 @@ def isotonic_blocks(df: DataFrame, region: str, y: str = "sale_price", pred: str
     actual prices sum to ``total``; its mean is the fit, and means rise from block to block. Rows
     without a region, prediction or price don't count.
 
-    Predictions are summed by value and pooled inside range partitions of about ``part_rows`` points, so
-    a region may spread over many tasks. A block can only change if a later partition begins with a
+    Predictions are summed by value and pooled inside range partitions of about ``part_rows`` points, more
+    where that would make over ``MAX_PARTS`` of them, so a region may spread over many tasks. A block can only change if a later partition begins with a
     lower mean or an earlier one ends with a higher mean; the others are done, and only those at the
     borders go into the next round, which has half as many partitions at most.
     """
@@ -82,7 +88,7 @@ def isotonic_blocks(df: DataFrame, region: str, y: str = "sale_price", pred: str
         F.count(F.lit(1)).alias("n")), "points")
     rows, parts, done = left.count(), None, None
     while True:
-        needed = max(math.ceil(rows / part_rows), 1)
+        needed = parts_for(rows, part_rows)
         parts = needed if parts is None else max(min(parts // 2, needed), 1)
         blocks = stage(_pooled(left, region, parts), "blocks")
         if parts == 1:

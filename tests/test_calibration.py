@@ -149,3 +149,14 @@ def test_one_key_and_hour_is_spread(spark):
     assert out.filter("price = i").count() == n
     parts = stage(preds.repartitionByRange(10, "k", "pt").withColumn("p", F.spark_partition_id()), "p")
     assert parts.groupBy("p").count().agg(F.max("count")).first()[0] < n / 4
+
+
+def test_range_partitions_are_bounded():
+    from parcelspark.operators import isotonic
+
+    assert isotonic.parts_for(600_000, 4096) == 147
+    assert isotonic.parts_for(36_000_000, 4096) == isotonic.MAX_PARTS
+    assert isotonic.parts_for(10 ** 9, 4096) == 1000
+    blocks = [(float(i), float(i), float(i * 7 % 5), 1) for i in range(50)]
+    half = isotonic.pool(blocks[:20])
+    assert isotonic.pool(blocks[20:], half) == isotonic.pool(blocks)
