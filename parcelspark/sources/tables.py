@@ -94,10 +94,18 @@ def write_on_curve(df: DataFrame, path: str, cols: Sequence[str], files: int | N
      .parquet(path))
 
 
-def file_sizes(spark: SparkSession, folder: str, names: str = "*.parquet") -> DataFrame:
-    """``(path, length)`` of the files under a folder; their content isn't read."""
+def binary_files(spark: SparkSession, folder: str, names: str = "*") -> DataFrame:
+    """``(path, modificationTime, length, content)`` of the files under a folder, as listed by this call."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", names)
-            .option("recursiveFileLookup", True).load(folder).select("path", "length"))
+            .option("recursiveFileLookup", True).load(folder))
+
+
+def file_sizes(spark: SparkSession, folder: str, names: str = "*.parquet",
+               listed: DataFrame | None = None) -> DataFrame:
+    """``(path, length)`` of the files under a folder; their content isn't read. ``listed`` is a listing of
+    them by :func:`binary_files`, where there is one."""
+    files = binary_files(spark, folder, names) if listed is None else listed
+    return files.select("path", "length")
 
 
 def compaction_jobs(files: DataFrame, target: int) -> DataFrame:

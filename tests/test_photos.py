@@ -64,3 +64,28 @@ def test_failures_are_kept_and_tried_again(spark, folder):
     assert got["none"].error == photos.MISSING and got["none"].score_json is None
     # Only what failed was scored again.
     assert os.path.getsize(f"{count}/bad") == 3 and os.path.getsize(f"{count}/3") == 1
+
+
+def test_one_listing_serves_sizes_and_scores(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from parcelspark.sources import photos, tables
+
+    for i in range(4):
+        (tmp_path / f"{i}.jpg").write_bytes(b"x" * (i + 1))
+    listed = tables.binary_files(spark, str(tmp_path))
+    monkeypatch.setattr(photos, "binary_files", None)
+    sizes = tables.file_sizes(spark, str(tmp_path), listed=listed)
+    manifest = sizes.select(F.col("path").alias("photo_url"), F.col("length").cast("string").alias("photo_hash"))
+    files = photos.photo_files(spark, str(tmp_path), manifest, 3, listed=listed)
+
+    def scorer(image):
+        if len(image) == 2:
+            raise ValueError("two")
+        return str(len(image))
+
+    out = photos.score_files(spark, str(tmp_path), files, scorer, max_bytes=3, listed=listed)
+    assert "content" not in out.columns
+    got = {r["photo_hash"]: (r["score_json"], r["error"], r["attempts"]) for r in out.collect()}
+    assert got == {"1": ("1", None, 1), "2": (None, "ValueError: two", 2), "3": ("3", None, 1),
+                   "4": (None, "too large", 0)}
