@@ -324,3 +324,29 @@ def test_errors_are_pyspark_or_value_errors(spark):
     with pytest.raises((ValueError, PySparkException)):
         features.gold_features(spark.createDataFrame([("p", "750", 7.0, 1900)], SILVER),
                                impute="mean")
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_enriched_and_landed_rows_are_joined_once(spark):
+    """What is left to run reads staged rows, none of the given tables again."""
+    from parcelspark.plans import refine
+
+    for query in (refine.silver_enrich, refine.landing_reconcile):
+        left = query(spark, SMALL).inputFiles()
+        assert left and not [f for f in left if SMALL in f]
+
+
+def test_matrix_and_differences_stage_their_rows_once(spark, monkeypatch):
+    from parcelspark.plans import refine, retrain
+
+    staged = []
+    for module in (refine, retrain):
+        monkeypatch.setattr(module, "stage", lambda df, label, real=module.stage: (
+            staged.append(label), real(df, label))[1])
+    retrain.model_matrix(spark, SMALL)
+    assert staged == ["rows", "matrix"]
+    staged.clear()
+    refine.landing_differences(spark, SMALL)
+    assert staged == []
