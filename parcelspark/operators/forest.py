@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.operators.modeling import LABEL, _checkpoint_folder, bins_for
-from parcelspark.operators.quantiles import exact_percentiles
+from parcelspark.operators.quantiles import descend, exact_percentiles
 from parcelspark.operators.skew import fits_broadcast, lookup_join
 from parcelspark.session import stage
 
@@ -45,11 +47,16 @@ def leaf_distributions(train: DataFrame, leaves: Sequence[str], y: str = "sale_p
                  "leaves")
     edges = exact_percentiles(rows, "_y", [i / steps for i in range(steps + 1)]).first()
     edges = list(edges["p"]) if edges and edges["p"] is not None else [0.0] * (steps + 1)
-    inner = F.array(*[F.lit(float(e)) for e in edges[1:-1]])
-    step = F.size(F.filter(inner, lambda e: e < F.col("_y")))
+    inner = [float(e) for e in edges[1:-1]]
+    depth = len(inner).bit_length()
+    # Filled up for the binary search; a NaN lies above the fill too.
+    marks = F.array(*map(F.lit, inner + [float("inf")] * (2 ** depth - 1 - len(inner)))
+                    ).cast("array<double>")
+    placed = descend(rows.withColumn("_marks", marks), "_y", "_step", depth).withColumn(
+        "_step", F.least(F.col("_step"), F.lit(len(inner))))
     pairs = F.array(*[F.struct(F.lit(t).alias("tree"), F.col(c).cast("long").alias("leaf"))
                       for t, c in enumerate(leaves)])
-    counts = (rows.withColumn("_step", step).groupBy(*leaves, "_step").agg(F.count(F.lit(1)).alias("_n"))
+    counts = (placed.groupBy(*leaves, "_step").agg(F.count(F.lit(1)).alias("_n"))
               .select("_step", "_n", F.inline(pairs)).filter("leaf IS NOT NULL")
               .groupBy("tree", "leaf", "_step").agg(F.sum("_n").alias("_n")))
     below = [F.sum(F.when(F.col("_step") <= i, F.col("_n")).otherwise(0)) / F.sum("_n")
@@ -70,23 +77,63 @@ def _quantile(shares: Column, total: Column, edges: list[float], q: float) -> Co
     return low + part * (high - low)
 
 
+def _small_quantiles(leaves: LeafTable, q: Sequence[float]):
+    """A function of the rows' leaves that gives their quantiles, for a table that fits a broadcast."""
+    edges, steps = np.array(leaves.edges, float), len(leaves.edges) - 1
+    table: list[tuple[np.ndarray, np.ndarray]] = []
+    known_rows = leaves.table.collect()
+    for t in range(len(leaves.leaves)):
+        own = sorted((r["leaf"], r["shares"]) for r in known_rows if r["tree"] == t)
+        table.append((np.array([leaf for leaf, _ in own], np.int64),
+                      np.array([shares for _, shares in own], float).reshape(len(own), steps)))
+    shared = leaves.table.sparkSession.sparkContext.broadcast(table)
+
+    def quantiles(*columns: pa.Array) -> pa.Array:
+        n = len(columns[0])
+        total, trees = np.zeros((n, steps)), np.zeros(n)
+        for column, (ids, shares) in zip(columns, shared.value):
+            at = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+            leaf = column.drop_null().to_numpy()
+            place = np.searchsorted(ids, leaf)
+            real = np.isin(leaf, ids)
+            total[at[real]] += shares[place[real]]
+            trees[at[real]] += 1
+        row, out = np.arange(n), []
+        for share in q:
+            # Sums of shares carry rounding errors.
+            want = trees * share
+            reached = total >= (want - 1e-9)[:, None]
+            at = reached.argmax(axis=1)
+            before = np.where(at > 0, total[row, at - 1], 0.0)
+            width = total[row, at] - before
+            part = np.clip(np.divide(want - before, width, out=np.zeros(n), where=width != 0), 0, 1)
+            with np.errstate(invalid="ignore"):
+                price = edges[at] + part * (edges[at + 1] - edges[at])
+            out.append(pa.array(price, mask=(trees == 0) | ~reached.any(axis=1)))
+        return pa.StructArray.from_arrays(out, [f"q{i}" for i in range(len(q))])
+
+    return F.arrow_udf(quantiles, "struct<" + ", ".join(f"q{i}: double" for i in range(len(q))) + ">")
+
+
 def leaf_quantiles(df: DataFrame, leaves: LeafTable, q: Sequence[float] = QUANTILES,
                    names: Sequence[str] = ("price_low_q10", "price_q50", "price_high_q90")) -> DataFrame:
     """Add the quantiles of each row's mean distribution over its leaves.
 
     Every tree weighs the same; a leaf that the training rows didn't reach is left out, and a row
-    without any known leaf gets nulls. Each tree's distributions are joined by leaf, as a broadcast
-    below its size limit, so rows are not shuffled there.
+    without any known leaf gets nulls. Below the size limit of a broadcast the distributions go to
+    all tasks, which sum them by blocks of rows; a larger table is joined by leaf, tree by tree.
     """
-    small = fits_broadcast(leaves.table)
+    if fits_broadcast(leaves.table):
+        found = _small_quantiles(leaves, q)(*[F.col(c).cast("long") for c in leaves.leaves])
+        return (df.withColumn("_found", found)
+                .withColumns({name: F.col("_found")[f"q{i}"] for i, name in zip(range(len(q)), names)})
+                .drop("_found"))
     out = df.withColumn("_shares", F.array(*[F.lit(0.0)] * (len(leaves.edges) - 1))).withColumn(
         "_trees", F.lit(0.0))
     for t, leaf in enumerate(leaves.leaves):
         own = leaves.table.filter(F.col("tree") == t).select(
             F.col("leaf").alias("_leaf"), F.col("shares").alias("_own"))
-        out = out.withColumn("_leaf", F.col(leaf).cast("long"))
-        out = (out.join(F.broadcast(own), "_leaf", "left") if small
-               else lookup_join(out, own, ["_leaf"]))
+        out = lookup_join(out.withColumn("_leaf", F.col(leaf).cast("long")), own, ["_leaf"])
         known = F.col("_own").isNotNull()
         out = out.withColumns({
             "_shares": F.when(known, F.zip_with("_shares", "_own", lambda a, b: a + b))

@@ -160,3 +160,33 @@ def test_range_partitions_are_bounded():
     blocks = [(float(i), float(i), float(i * 7 % 5), 1) for i in range(50)]
     half = isotonic.pool(blocks[:20])
     assert isotonic.pool(blocks[20:], half) == isotonic.pool(blocks)
+
+
+def test_leaf_quantiles_sum_blocks_of_rows(spark, monkeypatch):
+    df = spark.range(3000).select(
+        (F.col("id") * 7919 % 1009).cast("double").alias("sale_price"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 13).alias("a"), (F.col("id") % 7).alias("b"))
+    table = forest.leaf_distributions(df, ["a", "b"], steps=10)
+    assert {len(r["shares"]) for r in table.table.collect()} == {10}
+    new = spark.createDataFrame([(1, 1, 2), (2, None, 3), (3, 99, 4), (4, 99, None), (5, 12, 0)],
+                                "id int, a int, b int")
+    out = forest.leaf_quantiles(new, table)
+    # No row's distributions are added one array after the other.
+    assert "zip_with" not in out._jdf.queryExecution().toString().lower()
+    assert out.columns == ["id", "a", "b", "price_low_q10", "price_q50", "price_high_q90"]
+    monkeypatch.setattr(forest, "fits_broadcast", lambda table: False)
+    want = {r["id"]: r for r in forest.leaf_quantiles(new, table).collect()}
+    got = out.collect()
+    assert len(got) == 5 and all(r == want[r["id"]] for r in got)
+    assert want[4]["price_q50"] is None and want[3]["price_q50"] is not None
+
+
+def test_steps_of_a_leaf_count_the_marks_below(spark):
+    rows = [(float(v), v % 3) for v in range(50)] + [(float("nan"), 1), (float("inf"), 2)]
+    df = spark.createDataFrame(rows, "sale_price double, a int")
+    table = forest.leaf_distributions(df, ["a"], steps=5)
+    shares = {r["leaf"]: list(r["shares"]) for r in table.table.collect()}
+    for leaf in range(3):
+        own = [v for v, a in rows if a == leaf]
+        steps = [sum(e < v or v != v for e in table.edges[1:-1]) for v in own]
+        assert shares[leaf] == pytest.approx([sum(s <= i for s in steps) / len(own) for i in range(5)])

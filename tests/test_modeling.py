@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelspark.operators import evaluate, modeling, sampling
 from parcelspark.operators.features import gold_features
 from parcelspark.operators.scoring import batch_score
+from parcelspark.plans.registry import QUERIES
 from parcelspark.plans.retrain import prepare, retrain
 from parcelspark.session import scratch_path, stage
 from parcelspark.sources.synthetic import synthetic_valuations
@@ -146,3 +147,10 @@ def test_retrain_chain(spark, gold):
     assert decision["promote"] == (decision["failed"] == 0)
     if decision["promote"]:
         PipelineModel.load(path)
+
+
+@pytest.mark.parametrize("name", ["train_gbt", "quantile_forest"])
+def test_no_column_of_prices_is_collected_by_one_task(name):
+    # The built-in exact percentile keeps all distinct values of a table in one buffer.
+    assert "percentile" not in QUERIES[name].__code__.co_names
+    assert "exact_percentiles" in QUERIES[name].__code__.co_names
