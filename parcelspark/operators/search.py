@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -181,8 +181,11 @@ def model_search(folds: DataFrame, trials: dict[str, object] | None = None,
     last = prepared(numbers[-1])
     for rung, size in enumerate(sizes[:-1]):
         share = float(eta) ** (rung - len(sizes) + 1)
-        found = errors(scored(fitted(alive, last[0], last[1].filter(F.col("_share") < share)),
-                              last[2]), alive)
+        # Every fit reads its rows several times; those of other shares are left out once, not by each.
+        rows = last[1].filter(F.col("_share") < share).persist(StorageLevel.DISK_ONLY)
+        rows.count()
+        found = errors(scored(fitted(alive, last[0], rows), last[2]), alive)
+        rows.unpersist()
         ranked = sorted(alive, key=lambda n: (found[n] is None, found[n], n))
         kept = ranked[:sizes[rung + 1]]
         board += [(rung, share, n, int(numbers[-1]), found[n], n in kept) for n in alive]

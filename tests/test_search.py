@@ -6,6 +6,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from parcelspark.operators import modeling, sampling, search
@@ -99,3 +100,23 @@ def test_vote_weighs_the_models(found):
     parts = [modeling.predict_price(m, known).toPandas()["pred"] * w for m, w in models]
     assert np.allclose(sorted(voted.pred), sorted(sum(parts) / sum(out.weights.values())))
     assert voted.pred.notna().all()
+
+
+def test_rows_of_a_rung_are_selected_once(spark, monkeypatch):
+    gold = stage(gold_features(synthetic_valuations(spark, 1200)).drop("property_hash"), "gold")
+    trials = {f"linear_{i}": LinearRegression(featuresCol="features", labelCol=modeling.LABEL,
+                                              regParam=0.1 * i) for i in range(8)}
+    read, fit = [], LinearRegression._fit
+
+    def counted(self, dataset):
+        read.append((dataset.count(), dataset.storageLevel.useDisk))
+        return fit(self, dataset)
+
+    monkeypatch.setattr(LinearRegression, "_fit", counted)
+    out = search.model_search(sampling.rolling_origin_folds(gold, folds=1), trials, eta=2, picks=2)
+    first, last = read[:8], read[8:]
+    assert len(last) == 4 and {n for n, _ in first} == {first[0][0]}
+    assert 0 < first[0][0] < last[0][0]
+    # The first rung's trials read a kept share, not all rows each.
+    assert all(kept for _, kept in first)
+    assert out.board.count() == 12
