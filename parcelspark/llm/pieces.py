@@ -19,9 +19,9 @@ from parcelspark.llm.common import slices, spread, text_or_empty
 SAMPLES, ALPHA, SEED = 2, 0.0005, 23
 #: What a character that only byte pieces can write costs, in scores below the lowest piece.
 FALLBACK = 10.0
-#: Columns that a lattice keeps of an edge, and words whose lattices a worker remembers (about
-#: 1.5 KB each) before it starts anew.
-WIDTH, REMEMBERED = 7, 100_000
+#: Columns that a lattice keeps of an edge, words whose lattices a worker remembers (about 1.5 KB each)
+#: before it starts anew, and words learned at once, few enough for a processor's cache.
+WIDTH, REMEMBERED, LEARNED = 7, 100_000, 4096
 _SPACE = "▁".encode()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -40,6 +40,11 @@ def uniform(key: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
     return ((key >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
 
 
+def _short(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on, as 16-bit ones where they fit, which sort in linear time."""
+    return x.astype(np.uint16) if x.max(initial=0) < 1 << 16 else x
+
+
 class Lattice:
     """Edges of every word's lattice: at a place, the pieces that start there.
 
@@ -75,102 +80,128 @@ class Lattice:
         self.weight = alpha * np.maximum(score, usual.min())
         self.fallback = alpha * (usual.min() - FALLBACK)
         self.names = names
-        self.longest = max(map(len, names))
-        self.keys, self.ids = self._hash_table()
-        self.slot = np.full(1 << 20, -1, np.int32)
-        slots = (self.keys >> np.uint64(44)).astype(np.int64)
-        self.slot[slots] = np.arange(len(slots))
-        self.shared = np.bincount(slots, minlength=1 << 20) > 1
+        self._grow_tree()
         # Columns of an edge: its place in the word, its length in bytes, its id (-1: byte pieces),
         # its log-probability, what the other edges of the place share, the probability up to it
         # among those of the place, and the first edge of the place it leads to, counted from the
         # word's first edge (-1: the word's end). Edges lie by word and place.
-        self.edges = WordTable(self._learn, "f8", REMEMBERED)
-
-    def _hash_table(self) -> tuple[np.ndarray, np.ndarray]:
-        self.value = np.random.default_rng(9).integers(1, 1 << 63, 256).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            powers = np.cumprod(np.full(self.longest, _ODD))
-            keys = np.array([_mixed((self.value[list(t)] * powers[:len(t)]).sum(
-                dtype=np.uint64, keepdims=True))[0] for t in self.names])
-        order = np.argsort(keys)
-        return keys[order], np.fromiter(self.names.values(), np.int64)[order]
+        self.edges = WordTable(self._learn, "f8", REMEMBERED, LEARNED)
+
+    def _grow_tree(self) -> None:
+        """Prefix tree of the pieces as arrays: a node's child by a byte lies at ``base[node] + byte``
+        if that slot's ``owner`` is the node. ``piece`` is the id that a node spells, or -1."""
+        nodes: dict[bytes, int] = {b"": 0}
+        below: list[list[int]] = [[]]
+        for raw in self.names:
+            for n in range(1, len(raw) + 1):
+                if raw[:n] not in nodes:
+                    nodes[raw[:n]] = len(nodes)
+                    below[nodes[raw[:n - 1]]].append(raw[n - 1])
+                    below.append([])
+        room = 256 + 4 * len(nodes)
+        owner, base = [-1] * (room + 256), [0] * len(nodes)
+        for node in sorted(range(len(nodes)), key=lambda i: -len(below[i])):
+            at = node * 0x9E3779B1 % room
+            while any(owner[at + b] >= 0 for b in below[node]):
+                at = (at + 1) % room
+            base[node] = at
+            for b in below[node]:
+                owner[at + b] = node
+        self.base, self.owner = np.array(base, np.int32), np.array(owner, np.int32)
+        self.child = np.zeros(len(owner), np.int32)
+        self.piece = np.full(len(nodes), -1, np.int32)
+        for raw, node in nodes.items():
+            if raw:
+                self.child[base[nodes[raw[:-1]]] + raw[-1]] = node
+                self.piece[node] = self.names.get(raw, -1)
+
+    def _pieces_at(self, data: np.ndarray, stop: np.ndarray, place: np.ndarray) -> list[tuple]:
+        """``(start, length, id)`` of the pieces inside words, one entry for each length, by start."""
+        found = []
+        at, node, n = place, np.zeros(len(place), np.int32), 0
+        while len(at):
+            slot = self.base[node] + data[at + n]
+            on = np.flatnonzero(self.owner[slot] == node)
+            at, node, n = at[on], self.child[slot[on]], n + 1
+            ident = self.piece[node]
+            real = np.flatnonzero(ident >= 0)
+            found.append((at[real], n, ident[real]))
+            inside = np.flatnonzero(at + n < stop[at])
+            at, node = at[inside], node[inside]
+        return found
 
     def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(b"".join(words), np.uint8)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        stop = np.repeat(np.cumsum(sizes), sizes)
-        head = (data & 0xC0) != 0x80
-        place = np.flatnonzero(head)
-        inverse = np.uint64(pow(int(_ODD), -1, 1 << 64))
-        start, length, ident = [], [], []
-        with np.errstate(over="ignore"):
-            powers = np.cumprod(np.full(len(data) + 1, _ODD))
-            back = np.cumprod(np.full(len(data) + 1, inverse)) * _ODD
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.value[data]
-                                                                      * powers[:-1])])
-            at = place
-            for n in range(1, min(self.longest, int(sizes.max())) + 1):
-                at = at[at + n <= stop[at]]
-                key = _mixed((total[at + n] - total[at]) * back[at])
-                slot = (key >> np.uint64(44)).astype(np.int64)
-                row = self.slot[slot]
-                some = np.flatnonzero(row >= 0)
-                row = row[some]
-                twice = np.flatnonzero(self.shared[slot[some]])
-                row[twice] = np.minimum(np.searchsorted(self.keys, key[some[twice]]),
-                                        len(self.keys) - 1)
-                real = self.keys[row] == key[some]
-                start.append(at[some[real]])
-                length.append(np.full(int(real.sum()), n))
-                ident.append(self.ids[row[real]])
+        ends = np.cumsum(sizes)
+        stop = np.repeat(ends, sizes)
+        place = np.flatnonzero((data & 0xC0) != 0x80)
+        found = self._pieces_at(data, stop, place)
         # A character without a piece of its own is written in bytes.
-        width = np.diff(np.append(place, len(data)))
-        start, length, ident = map(np.concatenate, (start, length, ident))
         span = np.zeros(len(data), np.int64)
-        span[place] = width
+        span[place] = np.diff(np.append(place, len(data)))
+        start = np.concatenate([at for at, _, _ in found])
+        length = np.repeat([n for _, n, _ in found], [len(at) for at, _, _ in found])
         alone = np.zeros(len(data), bool)
         alone[start[length == span[start]]] = True
         bare = place[~alone[place]]
+        # Edges by place, those of a place by length, byte pieces last.
         start = np.concatenate([start, bare])
         length = np.concatenate([length, span[bare]])
-        ident = np.concatenate([ident, np.full(len(bare), -1)])
+        ident = np.concatenate([*[ids for _, _, ids in found], np.full(len(bare), -1)])
+        order = np.argsort(_short(start), kind="stable")
+        start, length, ident = start[order], length[order], ident[order]
+        counts = np.bincount(start, minlength=len(data))
+        behind = np.cumsum(counts)
+        counts, first = counts[place], (behind - counts)[place]
         weight = np.where(ident >= 0, self.weight[ident], self.fallback)
-        # Backward sums, the places nearest to the end of their word first.
-        left = stop[start] - start
-        order = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(sizes.max()) + 2))
+        # Backward sums, the places nearest to the end of their word first; a word's end sums to 0.
+        goal = start + length
+        final = goal == stop[start]
         beta = np.zeros(len(data) + 1)
-        final = start + length == stop[start]
-        for k in range(int(sizes.max())):
-            rows = order[bounds[k]:bounds[k + 1]]
-            if len(rows):
-                rows = rows[np.argsort(start[rows], kind="stable")]
-                value = weight[rows] + np.where(final[rows], 0.0, beta[start[rows] + length[rows]])
-                nodes, first = np.unique(start[rows], return_index=True)
-                beta[nodes] = np.logaddexp.reduceat(value, first)
-        value = weight + np.where(final, 0.0, beta[start + length]) - beta[start]
-        order = np.lexsort((-value, start))
-        start, length, ident, value = start[order], length[order], ident[order], value[order]
+        onto = np.where(final, len(data), goal)
+        far = _short(stop[place] - place)
+        order, by_place = (np.argsort(x, kind="stable") for x in (np.repeat(far, counts), far))
+        sums, nodes = np.cumsum(np.append(0, counts[by_place])), place[by_place]
+        steps = np.flatnonzero(np.append(True, np.diff(far[by_place]) != 0))
+        near, near_onto = weight[order], onto[order]
+        for a, b in zip(steps.tolist(), [*steps[1:].tolist(), len(nodes)]):
+            lo, hi = sums[a], sums[b]
+            beta[nodes[a:b]] = np.logaddexp.reduceat(near[lo:hi] + beta[near_onto[lo:hi]],
+                                                     sums[a:b] - lo)
+        value = weight + beta[onto] - beta[start]
+        # The likeliest edge of a place comes first.
+        order = np.arange(len(value))
+        two = first[counts == 2]
+        two = two[value[two] < value[two + 1]]
+        order[two], order[two + 1] = two + 1, two
+        for k in np.flatnonzero(np.bincount(counts)).tolist():
+            if k > 2:
+                own = first[counts == k][:, None] + np.arange(k)
+                order[own] = own[:, :1] + np.argsort(-value[own], axis=1, kind="stable")
+        goal, length, ident, value, final = (x[order] for x in (goal, length, ident, value, final))
         p = np.exp(value)
-        nodes, first, counts = np.unique(start, return_index=True, return_counts=True)
-        own_sum = np.add.reduceat(p, first)
-        rest = np.repeat(own_sum, counts) - p
-        # The likeliest edge comes first; the others are summed without it, for precision.
+        rest = np.repeat(np.add.reduceat(p, first), counts) - p
+        # The others of the first edge are summed without it, for precision.
         tail = p.copy()
         tail[first] = 0
         rest[first] = np.add.reduceat(tail, first)
-        word = np.searchsorted(np.cumsum(sizes), start, "right")
-        running = np.cumsum(p)
-        upto = running - np.repeat(running[first] - p[first], counts)
+        upto, at, left = p.copy(), first, counts
+        while len(at := at[left > 1]):
+            left = left[left > 1] - 1
+            at = at + 1
+            upto[at] += upto[at - 1]
         upto[first + counts - 1] = 2.0  # the last edge takes what rounding leaves
         edge_of = np.zeros(len(data) + 1, np.int64)
-        edge_of[nodes] = first
-        per_word = np.bincount(word, minlength=len(words))
-        base = (np.cumsum(per_word) - per_word)[word]
-        lead = np.where(start + length == stop[start], -1, edge_of[start + length] - base)
-        flat = np.stack([start - (np.cumsum(sizes) - sizes)[word], length, ident, value, rest, upto,
-                         lead], 1)
+        edge_of[place] = first
+        begin = ends - sizes
+        per_word = np.add.reduceat(counts, np.searchsorted(place, begin))
+        flat = np.empty((len(value), WIDTH))
+        flat[:, 0] = start - np.repeat(begin, per_word)
+        flat[:, 6] = np.where(final, -1, edge_of[goal]
+                              - np.repeat(np.cumsum(per_word) - per_word, per_word))
+        for i, column in enumerate((length, ident, value, rest, upto), 1):
+            flat[:, i] = column
         return flat.ravel(), per_word * WIDTH
 
     def words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,11 +251,16 @@ class Sampler:
         at = np.arange(len(word))
         out = []
         while len(at):
-            u = uniform(key[at], place, sample)
-            active = np.flatnonzero(u > upto[edge])
+            # The last edge of a place, which has 2 there, needs no draw.
+            limit = upto[edge]
+            active = np.flatnonzero(limit < 2)
+            u = uniform(key[at[active]], place[active], sample)
+            above = np.flatnonzero(u > limit[active])
+            active, u = active[above], u[above]
             while len(active):
                 edge[active] += 1
-                active = active[u[active] > upto[edge[active]]]
+                above = np.flatnonzero(u > upto[edge[active]])
+                active, u = active[above], u[above]
             out.append((at, place, edge))
             ahead = lead[edge]
             on = np.flatnonzero(ahead >= 0)
@@ -246,7 +282,11 @@ class Sampler:
 
     def sample(self, column: pa.Array, keys: np.ndarray, k: int) -> list[list[tuple]]:
         """Per text up to k of ``(edges, log p, perturbed, inclusion)`` by falling perturbed value."""
-        data, ends, starts = self.lattice.words(column)
+        return self.sample_words(*self.lattice.words(column), keys, k)
+
+    def sample_words(self, data: np.ndarray, ends: np.ndarray, starts: np.ndarray, keys: np.ndarray,
+                     k: int) -> list[list[tuple]]:
+        """As ``sample``, of texts that are cut into words (see ``Lattice.words``)."""
         n = len(ends) - 1
         if not len(data):
             return [[(np.empty(0, np.int64), 0.0, 0.0, 1.0)] for _ in range(n)]
@@ -275,19 +315,29 @@ class Sampler:
         for sample in range(k + 1):
             # Append to each text's new path what was found behind its branch.
             cut = np.searchsorted(doc[tail[0]], np.arange(n + 1))
-            noise = uniform(own_key[tail[0]], tail[1], 1000 + sample)
+            logs, before = np.empty(len(tail[0])), np.empty(len(tail[0]))
+            ceiling = np.zeros(n)
+            for d, (_, total, edge, bound) in branch.items():
+                own = slice(cut[d], cut[d + 1])
+                base = edge[3] if edge is not None else 0.0
+                np.add(base, np.cumsum(tail[3][own]), out=logs[own])
+                ceiling[d] = bound
+            np.subtract(logs, tail[3], out=before)
+            # Where a place has one edge there is no region beside it.
+            some = np.flatnonzero(tail[4])
+            above = np.full(len(logs), -np.inf)
+            above[some] = self._bounds(
+                tail[4][some], before[some], np.repeat(ceiling, np.diff(cut))[some],
+                uniform(own_key[tail[0][some]], tail[1][some], 1000 + sample))
             for d, (head, total, edge, bound) in branch.items():
-                own = tuple(x[cut[d]:cut[d + 1]] for x in tail)
+                own = tuple(x[cut[d]:cut[d + 1]] for x in tail[:3])
                 if edge is not None:
                     head = tuple(np.append(h, x) for h, x in zip(head, edge[:3]))
                     total = np.append(total, edge[3])
-                base = total[-1] if len(total) else 0.0
-                logs = base + np.cumsum(own[3])
-                values = self._bounds(own[4], logs - own[3], bound, noise[cut[d]:cut[d + 1]])
-                path = tuple(np.concatenate(x) for x in zip(head, own[:3]))
-                total = np.concatenate([total, logs])
+                path = tuple(np.concatenate(x) for x in zip(head, own))
+                total = np.concatenate([total, logs[cut[d]:cut[d + 1]]])
                 paths[d].append((path, total, np.concatenate(
-                    [np.full(len(head[0]), -np.inf), values])))
+                    [np.full(len(head[0]), -np.inf), above[cut[d]:cut[d + 1]]])))
                 chosen[d].append((path[2], float(total[-1]) if len(total) else 0.0, bound))
             # The best region of each text, and the branch that its leaf takes.
             resume_word, resume_place, resume_edge, later = [], [], [], []
@@ -353,9 +403,10 @@ class Sampler:
     def ids(self, edges: np.ndarray, data: np.ndarray, begin: int) -> np.ndarray:
         """Piece ids of a path whose text starts at ``begin``; byte pieces where there is none."""
         pool = self.lattice.edges.pool.reshape(-1, WIDTH)
-        ident, length = pool[edges, 2].astype(np.int64), pool[edges, 1].astype(np.int64)
+        ident = pool[edges, 2].astype(np.int64)
         if (ident >= 0).all():
             return ident
+        length = pool[edges, 1].astype(np.int64)
         sizes = np.where(ident < 0, length, 1)
         out = np.repeat(ident, sizes)
         at = begin + np.repeat(np.cumsum(length) - length, sizes)
@@ -384,11 +435,11 @@ def _sampled(docs: DataFrame, model: str, k: int, alpha: float, seed: int, whole
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = sampler_of(model, alpha, seed)
         for batch in batches:
-            for part in slices([batch], "text", 1 << 20):
+            for part in slices([batch], "text", 1 << 18):
                 keys = part.column("key").to_numpy()
                 docs_of, found = part.column("doc_id").to_pylist(), []
-                data, ends, _ = sampler.lattice.words(part.column("text"))
-                for i, own in enumerate(sampler.sample(part.column("text"), keys, k)):
+                data, ends, starts = sampler.lattice.words(part.column("text"))
+                for i, own in enumerate(sampler.sample_words(data, ends, starts, keys, k)):
                     raw = data[ends[i]:ends[i + 1]].tobytes().removeprefix(b" ")
                     for rank, (edges, logp, value, inclusion) in enumerate(own):
                         ids = sampler.ids(edges, data, int(ends[i]))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from rows import ROWS
+from parcelspark.llm import bpe, pieces
 from parcelspark.llm.common import components
 from parcelspark.llm.exact import bloom_filter, drop_exact_duplicates, exact_duplicates, mark_possible
 from parcelspark.llm.langid import Network, fit, identify, predict, train
@@ -468,3 +469,36 @@ def test_words_of_the_tokenizer_match_the_library():
     ids, ends = Encoder(BPE).encode(pa.array(texts))
     want = library().encode_batch(texts, add_special_tokens=False)
     assert all(w.ids == ids[a:b].tolist() for w, a, b in zip(want, ends, ends[1:]))
+
+
+def test_lattice_of_a_word_does_not_depend_on_its_company():
+    """What a worker learned before, and which words it learns together, must not move a draw."""
+    lattice = pieces.Lattice(public_tokenizers.path("piece_bpe_32k.model"), pieces.ALPHA)
+    rng = np.random.default_rng(5)
+    words = [b" " + bytes(rng.integers(97, 123, int(n)).astype(np.uint8)) for n in
+             rng.integers(1, 14, 3000)] + [" \u65e5\u672c\u8a9e\U0001f389x".encode(), b"\n"]
+    flat, sizes = lattice._learn(words)
+    ends = np.cumsum(sizes)
+    for i in (0, 1500, 2999, 3000, 3001):
+        alone, size = lattice._learn([words[i]])
+        assert size[0] == sizes[i]
+        assert (alone == flat[ends[i] - sizes[i]:ends[i]]).all()
+
+
+def test_word_table_learns_by_batches_and_forgets_as_a_whole():
+    asked = []
+
+    def learn(words):
+        asked.append(len(words))
+        return np.concatenate([np.frombuffer(w, np.uint8) for w in words]), np.array(
+            [len(w) for w in words])
+
+    table = bpe.WordTable(learn, "u1", limit=50, batch=16)
+    for lo in (0, 30, 10, 200):
+        words = [f"w{i:03d}"[:2 + i % 3].encode() + b"-%d" % i for i in range(lo, lo + 40)] * 2
+        data = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum([0, *map(len, words[:-1])])
+        rows = table.look_up(data, starts)
+        assert table.gathered(rows).tobytes() == data.tobytes()
+        assert len(table.keys) <= 50
+    assert max(asked) <= 16
