@@ -6,11 +6,14 @@ read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm.common import keep_rows, table
+from parcelspark.llm.common import drop_rows, table
 from parcelspark.llm.exact import drop_exact_duplicates
 from parcelspark.llm.langid import UNKNOWN, identify
 from parcelspark.llm.ngram import drop_near_duplicates
@@ -21,6 +24,9 @@ from parcelspark.session import stage
 LEAST_SCORE = 0.4
 #: Id behind each document.
 END_ID = 2
+#: Rows of an Arrow batch. Whole texts lie in it twice, in the executor and in its Python worker, for each
+#: core, beside the workers' memory from the step before.
+BATCH_ROWS = 500
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +34,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rows with a null doc_id are judged together: one that is recognized keeps all of them.
     """
-    seen = identify(docs).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return keep_rows(docs, seen.select("doc_id").distinct())
+    found = identify(docs).select("doc_id", (
+        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).alias("known"))
+    return drop_rows(docs, found.groupBy("doc_id").agg(F.bool_or("known").alias("known"))
+                     .filter(~F.col("known")).select("doc_id"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +59,22 @@ STAGES = [("language", known_language), ("exact_dedup", without_copies),
 ORACLE_SQL = None
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """At most ``rows`` rows in an Arrow batch meanwhile; a smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with small_batches(spark):
+        for name, step in STAGES[:-1]:
+            docs = stage(step(spark, docs, sf_dir), name)
+        return STAGES[-1][1](spark, docs, sf_dir)

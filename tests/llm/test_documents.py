@@ -13,9 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from rows import ROWS
 from parcelspark.llm import bpe, pieces
-from parcelspark.llm.common import components
+from parcelspark.llm.common import components, drop_rows
 from parcelspark.llm.exact import bloom_filter, drop_exact_duplicates, exact_duplicates, mark_possible
 from parcelspark.llm.langid import Network, fit, identify, predict, train
 from parcelspark.llm.lines import drop_repeated_lines
@@ -502,3 +503,46 @@ def test_word_table_learns_by_batches_and_forgets_as_a_whole():
         assert table.gathered(rows).tobytes() == data.tobytes()
         assert len(table.keys) <= 50
     assert max(asked) <= 16
+
+
+def test_rows_of_unwanted_ids_go_without_a_shuffle_of_texts(spark):
+    docs = spark.range(6).selectExpr("if(id < 2, null, id) AS doc_id", "concat('t', id) AS text")
+    gone = spark.createDataFrame([(3,), (9,)], "doc_id long")
+    assert sorted(r.text for r in drop_rows(docs, gone).collect()) == ["t0", "t1", "t2", "t4", "t5"]
+    nulls = drop_rows(docs, spark.createDataFrame([(None,)], "doc_id long"))
+    assert sorted(r.text for r in nulls.collect()) == ["t2", "t3", "t4", "t5"]
+    assert drop_rows(docs, gone.limit(0)).count() == 6
+    plan = drop_rows(docs, gone)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_language_step_joins_no_texts_by_shuffle(spark, monkeypatch):
+    """A row goes when none of its id is known; rows with a null id are judged together."""
+    rows = [(1, "a", "en", .9), (2, "b", "und", 0.0), (3, "c", "en", .3), (3, "d", "en", .8),
+            (None, "e", "und", 0.0), (None, "f", "de", .5), (4, "g", "de", .39)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, score double")
+    monkeypatch.setattr(corpus_pipeline, "identify", lambda df: df)
+    left = corpus_pipeline.known_language(spark, docs, "")
+    assert sorted(r.text for r in left.collect()) == ["a", "c", "d", "e", "f"]
+    assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pipeline_reads_texts_in_small_batches_and_leaves_the_session_as_it_was(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id) AS text").coalesce(1)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: docs)
+
+    def sizes(spark, df, sf):
+        return df.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict(
+            {"n": pa.array([b.num_rows], pa.int64())}) for b in batches), "n long")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", sizes), ("b", lambda s, df, d: df)])
+    before = spark.conf.get(name)
+    got = [r.n for r in corpus_pipeline.run(spark, "").collect()]
+    assert sum(got) == 3000 and max(got) <= corpus_pipeline.BATCH_ROWS
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, 7)
+    try:
+        assert max(r.n for r in corpus_pipeline.run(spark, "").collect()) == 7
+    finally:
+        spark.conf.set(name, before)
