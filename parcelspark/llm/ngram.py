@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ PERCENT = 75
 #: Counters of the sketch that tells heavy shingles, and how many times the mean count is heavy.
 SKETCH, HEAVY = 1 << 21, 16
 SEGMENT = 1 << 14
+#: Bytes of text whose shingles are made at once, in arrays of eight bytes for each of them.
+SLICE = 1 << 19
 #: Share of the shingles, by hash, whose frequency is counted exactly; a prefix is a quarter of a set
 #: at 75 percent. The order decides how many candidates there are, never which links are found.
 COUNTED = 0.34
@@ -114,6 +117,17 @@ def _signature(own: np.ndarray) -> int:
     return int(mixed(np.array([total]))[0].astype(np.int64))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters in as few bytes each as the largest needs, deflated: most are small, so a task's part
+    of the sketch takes a sixth of its plain size."""
+    kind = np.min_scalar_type(counts.max())
+    return bytes([kind.itemsize]) + zlib.compress(counts.astype(kind.newbyteorder("<")).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw[1:]), f"<u{raw[0]}")
+
+
 def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """A row per text, then the task's part of the sketch."""
     counts, waiting, held = np.zeros(SKETCH, np.uint32), [], 0
@@ -129,11 +143,11 @@ def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
             "counts": pa.array(part, pa.binary())})
 
     for batch in batches:
-        for piece in slices([batch], "text", 2 << 20):
+        for piece in slices([batch], "text", SLICE):
             sets = shingle_sets(piece.column("text"), words)
             waiting.extend(s for s in sets if len(s))
             held += sum(map(len, sets))
-            if held > 1 << 21:
+            if held > 1 << 19:
                 settle()
                 waiting, held = [], 0
             none = [None] * len(sets)
@@ -144,14 +158,14 @@ def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
     for k in range(0, SKETCH, SEGMENT):
         part = counts[k:k + SEGMENT]
         if part.any():
-            yield rows([None], [None], [None], [k // SEGMENT], [part.tobytes()])
+            yield rows([None], [None], [None], [k // SEGMENT], [_packed(part)])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(part, np.uint32)
+            part = _unpacked(part)
             total[k] = total[k] + part if k in total else part.astype(np.uint64)
     yield pa.RecordBatch.from_pydict({
         "segment": pa.array(list(total), pa.int32()),
@@ -187,7 +201,7 @@ def _candidate_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: i
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, known = shared.value, set()
         for batch in batches:
-            for piece in slices([batch], "text", 2 << 20):
+            for piece in slices([batch], "text", SLICE):
                 tokens, salts, sigs, sizes, slacks = [], [], [], [], []
                 for own in shingle_sets(piece.column("text"), words):
                     n, sig = len(own), _signature(own)
@@ -372,7 +386,7 @@ def _sets(docs: DataFrame, narrow: DataFrame, wanted: DataFrame, words: int) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set()
         for batch in batches:
-            for piece in slices([batch], "text", 2 << 20):
+            for piece in slices([batch], "text", SLICE):
                 found = {}
                 if len(known) >= REMEMBERED:
                     known.clear()

@@ -20,7 +20,7 @@ from parcelspark.llm.common import components, drop_rows
 from parcelspark.llm.exact import bloom_filter, drop_exact_duplicates, exact_duplicates, mark_possible
 from parcelspark.llm.langid import Network, fit, identify, predict, train
 from parcelspark.llm.lines import drop_repeated_lines
-from parcelspark.llm.ngram import (_joining, _overlaps, drop_near_duplicates,
+from parcelspark.llm.ngram import (_joining, _overlaps, _packed, _unpacked, drop_near_duplicates,
                                    ngram_components)
 from parcelspark.llm.packing import complete_bins, pack
 from parcelspark.llm.tokens import longest_prefix, prefix_counts, token_budget, tokens_within
@@ -527,6 +527,16 @@ def test_language_step_joins_no_texts_by_shuffle(spark, monkeypatch):
     assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("most", [1, 255, 256, 70000])
+def test_parts_of_the_sketch_are_packed_whole(most):
+    counts = np.random.default_rng(3).integers(0, most + 1, 1 << 14).astype(np.uint32)
+    counts[0] = most
+    assert (_unpacked(_packed(counts)) == counts).all()
+    if most == 255:
+        few = np.random.default_rng(4).poisson(2, 1 << 14).astype(np.uint32)
+        assert len(_packed(few)) < few.nbytes / 6
+
+
 def test_pipeline_reads_texts_in_small_batches_and_leaves_the_session_as_it_was(spark, monkeypatch):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     docs = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id) AS text").coalesce(1)
