@@ -250,9 +250,10 @@ def _prefix_rows(docs: DataFrame, weights: np.ndarray, words: int, percent: int)
     token = Window.partitionBy("token", "salt")
     found = rows.withColumns({"df": F.count(F.lit(1)).over(token), "lo": F.min("sig").over(token),
                               "hi": F.max("sig").over(token)})
-    # Copies of a set in other tasks gave the same rows; they lie together.
-    several = (found.filter("lo <> hi OR salt > 0").groupBy("token", "salt", "sig", "n", "slack")
-               .agg(F.max("df").alias("df")))
+    # Copies of a set in other tasks gave the same rows; they lie together. Staged, so that the files of
+    # the first shuffle, the largest by far, are gone before the next ones are written.
+    several = stage(found.filter("lo <> hi OR salt > 0").groupBy("token", "salt", "sig", "n", "slack")
+                    .agg(F.max("df").alias("df")), "several")
     own = Window.partitionBy("sig")
     ranked = several.withColumns({
         "rank": F.row_number().over(own.orderBy("salt", "df", "token")),
@@ -426,7 +427,8 @@ def _joining(left: list[np.ndarray], right: list[np.ndarray], known: np.ndarray,
             plane = np.zeros((len(n), min(1024, len(shared) - lo)), np.float32)
             plane[owner[a:b], at[a:b] - lo] = 1
             planes.append(plane)
-        count += planes[0] @ planes[1].T
+        for at in range(0, len(left), 256):
+            count[at:at + 256] += planes[0][at:at + 256] @ planes[1].T
     part = np.unique(known, return_inverse=True)[1]
     root = list(range(int(part.max()) + 1))
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from rows import ROWS
-from parcelspark.llm import bpe, pieces
+from parcelspark.llm import bpe, common, pieces
 from parcelspark.llm.common import components, drop_rows
 from parcelspark.llm.exact import bloom_filter, drop_exact_duplicates, exact_duplicates, mark_possible
 from parcelspark.llm.langid import Network, fit, identify, predict, train
@@ -24,6 +25,7 @@ from parcelspark.llm.ngram import (_joining, _overlaps, _packed, _unpacked, drop
                                    ngram_components)
 from parcelspark.llm.packing import complete_bins, pack
 from parcelspark.llm.tokens import longest_prefix, prefix_counts, token_budget, tokens_within
+from parcelspark.session import stage
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -556,3 +558,47 @@ def test_pipeline_reads_texts_in_small_batches_and_leaves_the_session_as_it_was(
         assert max(r.n for r in corpus_pipeline.run(spark, "").collect()) == 7
     finally:
         spark.conf.set(name, before)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {x for x in str(files.getAllFiles().mkString("\n")).split("\n") if "shuffle_" in x}
+
+
+def test_staged_steps_leave_no_shuffle_files(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name), shuffle_files(spark)
+    kept = stage(spark.range(10000).selectExpr("id % 100 AS k").groupBy("k").count(), "counts")
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before[1]) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert kept.count() == 100 and kept.groupBy().sum("count").first()[0] == 10000
+    assert spark.conf.get(name) == before[0]
+
+
+def test_few_links_are_joined_without_shuffles(spark, monkeypatch):
+    rng = random.Random(4)
+    pairs = [(i, i + 1) for i in range(400)] + [(500, 1000 + i) for i in range(300)]
+    pairs += [(rng.randrange(2000, 3000), rng.randrange(2000, 3000)) for _ in range(600)]
+    pairs += [(-5, 2**62), (2**62, 7), (4000, 4000), (None, 3), (4, None), (1, 0)]
+    rng.shuffle(pairs)
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(8)
+    few = components(links, "a", "b")
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(tuple, few.collect()))
+    low = {}
+    for own in linked_nodes([p for p in pairs if None not in p and p[0] != p[1]]):
+        low |= {x: min(own) for x in own}
+    assert got == sorted(low.items())
+    monkeypatch.setattr(common, "EDGES", 0)
+    assert sorted(map(tuple, components(links, "a", "b").collect())) == got
+    assert components(links.limit(0), "a", "b").count() == 0
+
+
+def linked_nodes(pairs):
+    parts = []
+    for pair in pairs:
+        touched = [p for p in parts if p & set(pair)]
+        parts = [p for p in parts if not p & set(pair)] + [set(pair).union(*touched)]
+    return parts
