@@ -602,3 +602,20 @@ def linked_nodes(pairs):
         touched = [p for p in parts if p & set(pair)]
         parts = [p for p in parts if not p & set(pair)] + [set(pair).union(*touched)]
     return parts
+
+
+def test_each_step_of_the_pipeline_reads_texts_in_small_batches(spark, monkeypatch):
+    """A step may be run by itself; the bound must hold there too."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen = []
+    for operator in ("identify", "drop_exact_duplicates", "drop_near_duplicates", "pack"):
+        def look(docs, *rest, operator=operator):
+            seen.append(int(spark.conf.get(name)))
+            return docs.selectExpr("doc_id", "'en' AS lang_pred", "1D AS score")
+
+        monkeypatch.setattr(corpus_pipeline, operator, look)
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, docs, "").count() == 2
+    assert seen == [corpus_pipeline.BATCH_ROWS] * 4 and spark.conf.get(name) == before
