@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.sources.landing import checksum
+from parcelspark.session import CLEANUP, setting
+from parcelspark.sources.landing import checksum, row_hash
 
 #: Bits that lead from a node to its child, and levels below the root: 4096 leaves.
 FANOUT_BITS, LEVELS = 4, 3
@@ -28,12 +29,14 @@ def write_with_tree(df: DataFrame, path: str, keys: Sequence[str], files: int |
     The tree has a row (level, node, rows, checksum) for each node that has rows; a node's checksum is
     the sum of its children's. Leaves are summed in one pass, with partial sums before the shuffle.
     """
-    cols = sorted(df.columns)
+    cols, spark = sorted(df.columns), df.sparkSession
     placed = df.withColumn("_leaf", leaf_of(keys))
     ranged = (placed.repartitionByRange(files, "_leaf", *keys) if files
               else placed.repartitionByRange("_leaf", *keys))
-    ranged.sortWithinPartitions("_leaf").write.mode("overwrite").parquet(f"{path}/rows")
-    spark = df.sparkSession
+    # Shuffle files go as soon as the rows are written.
+    with setting(spark, CLEANUP, "true"):
+        (ranged.sortWithinPartitions("_leaf").write.mode("overwrite").option("compression", "zstd")
+         .parquet(f"{path}/rows"))
     back = spark.read.schema(placed.schema).parquet(f"{path}/rows")
     level = back.groupBy(F.col("_leaf").alias("node")).agg(
         F.count(F.lit(1)).alias("rows"), checksum(back, cols).alias("checksum"))
@@ -90,23 +93,21 @@ def compare_trees(spark: SparkSession, src: str, dst: str, keys: Sequence[str])
             break
     shared = sorted(set(a.columns) & set(b.columns) - {"_leaf"})
 
-    def side(df: DataFrame, name: str) -> DataFrame:
+    def side(df: DataFrame, sign: int) -> DataFrame:
         if open_ is not None and len(open_) <= NAMED_LEAVES:
             df = df.filter(F.col("_leaf").isin(open_))
         elif open_ is not None:
             wanted = spark.createDataFrame([(x,) for x in open_], "_leaf int")
             df = df.join(F.broadcast(wanted), "_leaf", "left_semi")
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}_n"),
-                                     checksum(df, shared).alias(f"{name}_sum"))
-
-    left, right = side(a, "src"), side(b, "dst").withColumnsRenamed({k: f"_dst_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_dst_{k}"))
-    change = (F.when(F.col("dst_n").isNull(), "lost").when(F.col("src_n").isNull(), "added")
-              .when(F.lit(not alike) | (F.col("src_n") != F.col("dst_n"))
-                    | (F.col("src_sum") != F.col("dst_sum")), "changed"))
-    rows = (left.join(right, same, "full").withColumn("change", change).filter("change IS NOT NULL")
-            .select(*[F.when(F.col("src_n").isNull(), F.col(f"_dst_{k}")).otherwise(F.col(k)).alias(k)
-                      for k in keys], "change"))
+        return df.select(*keys, F.lit(sign).alias("_sign"),
+                         (row_hash(shared) * F.lit(sign)).cast("decimal(38,0)").alias("_sum"))
+
+    # Both sides meet in one shuffle; a group takes null keys together.
+    both = side(a, 1).unionAll(side(b, -1)).groupBy(*keys).agg(
+        F.count_if(F.col("_sign") > 0).alias("src_n"), F.count_if(F.col("_sign") < 0).alias("dst_n"),
+        F.sum("_sum").alias("apart"))
+    change = (F.when(F.col("dst_n") == 0, "lost").when(F.col("src_n") == 0, "added")
+              .when(F.lit(not alike) | (F.col("src_n") != F.col("dst_n")) | (F.col("apart") != 0),
+                    "changed"))
+    rows = both.withColumn("change", change).filter("change IS NOT NULL").select(*keys, "change")
     return Comparison(rows, nodes, open_ or [])

@@ -64,6 +64,24 @@ def test_null_and_repeated_keys_and_other_columns(spark):
                                   ["key", "day"]).rows.count() == 0
 
 
+def test_rows_of_both_sides_meet_in_one_shuffle(spark, rows, monkeypatch):
+    seen, real = [], hashtree.setting
+    monkeypatch.setattr(hashtree, "setting", lambda s, name, value: (seen.append((name, value)),
+                                                                     real(s, name, value))[1])
+    paths = trees(spark, rows, rows.withColumn("price", F.when(F.col("a") == 5, 0.0).otherwise(F.col("price"))))
+    # The shuffle files of each table go when it is written.
+    assert [v for _, v in seen] == ["true", "true"] and {"fileCleanup" in n for n, _ in seen} == {True}
+    out = hashtree.compare_trees(spark, *paths, ["key"])
+    changed = out.rows
+    assert changed.count() == rows.filter("a = 5").count()
+    plan = changed._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan.replace("BroadcastHashJoin", "")
+    whole = changed._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("Exchange hashpartitioning(key") == 1
+    names = [n for p in paths for n in glob.glob(f"{p}/rows/*.parquet")]
+    assert names and all(pq.ParquetFile(n).metadata.row_group(0).column(0).compression == "ZSTD" for n in names)
+
+
 def files_with(path, column, value):
     """Files whose statistics allow the value."""
     hits = 0
