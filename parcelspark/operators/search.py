@@ -6,10 +6,8 @@ import math
 import random
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -152,15 +150,11 @@ def model_search(folds: DataFrame, trials: dict[str, object] | None = None,
             for role in ("train", "test"))
         features = pipeline.fit(train)
         known = modeling.encode_known(test.drop(*[f"{c}_mean" for c in high]), train, high)
-        return (features, stage(features.transform(train).select(LABEL, "features", "_share"), "fit"),
-                stage(features.transform(known).select(F.lit(int(number)).alias("fold"), target,
-                                                       "features"), "test"))
+        return (features, train, stage(features.transform(known).select(
+            F.lit(int(number)).alias("fold"), target, "features"), "test"))
 
     def fitted(names, features, train):
-        fit = inheritable_thread_target(full.sparkSession)(
-            lambda name: modeling._with_bins(trials[name], features).fit(train))
-        with ThreadPool(min(concurrent, len(names))) as pool:
-            return dict(zip(names, pool.map(fit, names)))
+        return modeling.fit_over(features, {n: trials[n] for n in names}, train, concurrent)
 
     def scored(models, test):
         keep = test.columns
@@ -181,11 +175,8 @@ def model_search(folds: DataFrame, trials: dict[str, object] | None = None,
     last = prepared(numbers[-1])
     for rung, size in enumerate(sizes[:-1]):
         share = float(eta) ** (rung - len(sizes) + 1)
-        # Every fit reads its rows several times; those of other shares are left out once, not by each.
-        rows = last[1].filter(F.col("_share") < share).persist(StorageLevel.DISK_ONLY)
-        rows.count()
+        rows = last[1].filter(F.col("_share") < share)
         found = errors(scored(fitted(alive, last[0], rows), last[2]), alive)
-        rows.unpersist()
         ranked = sorted(alive, key=lambda n: (found[n] is None, found[n], n))
         kept = ranked[:sizes[rung + 1]]
         board += [(rung, share, n, int(numbers[-1]), found[n], n in kept) for n in alive]

@@ -6,7 +6,8 @@ import math
 import duckdb
 import numpy as np
 import pytest
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
+                                   RandomForestRegressor)
 from pyspark.sql import functions as F
 
 from parcelspark.operators import modeling, sampling, search
@@ -120,3 +121,16 @@ def test_rows_of_a_rung_are_selected_once(spark, monkeypatch):
     # The first rung's trials read a kept share, not all rows each.
     assert all(kept for _, kept in first)
     assert out.board.count() == 12
+
+
+def test_trees_of_a_search_grow_over_blocks(spark, monkeypatch):
+    """Spark ML's own fits pass over the rows as objects, once for each trial, tree and level."""
+    def never(self, dataset):
+        raise AssertionError("fitted row by row")
+
+    for kind in (GBTRegressor, RandomForestRegressor, DecisionTreeRegressor):
+        monkeypatch.setattr(kind, "_fit", never)
+    gold = stage(gold_features(synthetic_valuations(spark, 1500)).drop("property_hash"), "gold")
+    out = search.model_search(sampling.rolling_origin_folds(gold, folds=1), search.trial_list(8), eta=2,
+                              picks=2)
+    assert len(out.models()) == len(out.weights)
